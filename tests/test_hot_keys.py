@@ -1,13 +1,20 @@
 """Hot-key plans give the same rows as the plain window plans, and as brute force."""
 
 import random
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from wardframe.operators import temporal as tp
-from wardframe.operators.skew import SLICE, join_one_per_key, measure_hot_keys, with_slices
+from wardframe.operators.skew import (
+    SLICE,
+    join_one_per_key,
+    measure_hot_keys,
+    split_hot,
+    with_slices,
+)
 
 START = datetime(2024, 1, 1)
 KEYS = ["subject_id", "hadm_id"]
@@ -38,7 +45,7 @@ def events(spark, data):
 
 @pytest.fixture(scope="module")
 def hot(events):
-    return measure_hot_keys(events, KEYS, "t", max_rows=15)
+    return measure_hot_keys(events, KEYS, "t", max_rows=15, sliding_rows=15)
 
 
 def test_only_large_keys_are_cut(events, hot):
@@ -52,8 +59,18 @@ def test_only_large_keys_are_cut(events, hot):
     assert spans.where("n > 1").count() == 0
 
 
+def test_sliding_frames_have_their_own_bound(events, hot):
+    sliding_only = measure_hot_keys(events, KEYS, "t", max_rows=1000, sliding_rows=15)
+    assert sliding_only.for_scans() is None
+    assert hot.for_scans().cuts.count() == hot.cuts.count()
+    plan = tp.running_max(events, KEYS, "t", "v", "m", sliding_only)
+    assert sorted(r["m"] or -1 for r in plan.select("m").collect()) == sorted(
+        r["m"] or -1 for r in tp.running_max(events, KEYS, "t", "v", "m").select("m").collect()
+    )
+
+
 def test_shifted_cuts_stay_sorted(hot):
-    for r in hot.shifted_back("6 HOURS").cuts.collect():
+    for r in hot.shifted_back(["6 HOURS", "2 DAYS"]).cuts.collect():
         assert r["_cuts"] == sorted(set(r["_cuts"]))
 
 
@@ -69,6 +86,16 @@ def test_running(events, hot, rows, peers, descending):
     assert rows(plain) == rows(split)
 
 
+def test_ordinary_keys_stay_out_of_the_split_plan(events, hot):
+    """Only the rows of hot keys are written down, and rows without a key are not lost."""
+    ordinary, split = split_hot(events, hot)
+    cut = {r["subject_id"] for r in hot.cuts.collect()}
+    assert {r["subject_id"] for r in split.select("subject_id").distinct().collect()} == cut
+    assert ordinary.count() + split.count() == events.count()
+    unkeyed = events.withColumn("hadm_id", F.expr("CASE WHEN row_id % 5 > 0 THEN hadm_id END"))
+    assert tp.running_max(unkeyed, KEYS, "t", "v", "m", hot).count() == events.count()
+
+
 def test_running_max_against_brute_force(events, data, hot, rows):
     want = []
     for i, s, h, t, v, _ in data:
@@ -105,6 +132,14 @@ def test_rolling_range(events, data, hot, rows):
     assert plain == sorted(want, key=repr)
 
 
+def test_rolling_range_of_unlisted_large_keys(events, hot, rows):
+    """With more hot keys than are listed, the rest takes the linear plan without slices."""
+    specs = {"s6": ("sum", "v", "6 HOURS"), "n48": ("count", "v", "48 HOURS")}
+    one = replace(hot, cuts=hot.cuts.where("subject_id = 1"), more=True)
+    plain = rows(tp.rolling_range(events, KEYS, "t", specs))
+    assert plain == rows(tp.rolling_range(events, KEYS, "t", specs, one))
+
+
 def test_rolling_range_first_needs_the_time(events):
     with pytest.raises(ValueError):
         tp.rolling_range(events, KEYS, "t", {"x": ("first", "v", "6 HOURS")})

@@ -13,7 +13,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from wardframe.operators.skew import MAX_ROWS, HotKeys, measure_hot_keys
+from wardframe.operators.skew import MAX_ROWS, SLIDING_ROWS, HotKeys, measure_hot_keys
 
 KEYS = ["subject_id", "hadm_id"]
 
@@ -28,16 +28,25 @@ def _case(selector: str, *branches: tuple[object, object], default: object) -> C
 class Roles:
     def __init__(self, spark: SparkSession, sf_dir: str, max_rows: int = MAX_ROWS):
         self.spark, self.sf_dir, self.max_rows = spark, sf_dir, max_rows
+        self._hot: dict[tuple[str, ...], HotKeys | None] = {}
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def hot(self, *keys: str) -> HotKeys | None:
         """Hot admissions (or other keys) of the event table, which every event view is part of."""
-        return measure_hot_keys(self.events, list(keys) or KEYS, "charttime", self.max_rows)
+        return self._measured("events", keys or tuple(KEYS))
 
     def hot_fast_clock(self) -> HotKeys | None:
-        return measure_hot_keys(self.urine, KEYS, "charttime", self.max_rows)
+        return self._measured("urine", tuple(KEYS))
+
+    def _measured(self, view: str, keys: tuple[str, ...]) -> HotKeys | None:
+        if (view, *keys) not in self._hot:
+            rows = getattr(self, view)
+            self._hot[(view, *keys)] = measure_hot_keys(
+                rows, keys, "charttime", self.max_rows, min(self.max_rows, SLIDING_ROWS)
+            )
+        return self._hot[(view, *keys)]
 
     @cached_property
     def events(self) -> DataFrame:

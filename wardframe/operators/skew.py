@@ -13,10 +13,11 @@ are fixed values once measured.
 
 from __future__ import annotations
 
+import inspect
 import math
-from collections.abc import Sequence
-from dataclasses import dataclass
-from functools import reduce
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, replace
+from functools import reduce, wraps
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -25,23 +26,43 @@ from wardframe.session import shared_folder
 SLICE = "_slice"
 
 MAX_ROWS = 2_000_000  # rows of one key that one task handles unsplit
+SLIDING_ROWS = 100_000  # the same for sliding frames, where every row visits its whole frame
 MAX_SLICES = 4_096  # slices of one key
 MAX_CUTS = 100_000  # cut points over all keys: bounds what is broadcast
-MAX_HOT_KEYS = 10_000  # an unlisted key then holds under 1/10,000 of the rows, and stays whole
+MAX_HOT_KEYS = 10_000  # any further key holds under 1/10,000 of the rows, and stays whole
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Cut points per hot key: ``cuts`` has the key columns and a sorted array ``_cuts``."""
+    """Cut points per hot key: ``cuts`` has the key columns, ``_rows`` and a sorted array ``_cuts``.
+
+    Keys with more than ``max_rows`` rows are hot for every job, the others listed only for
+    sliding frames. ``more``: there were more hot keys than are listed. The rows at hand can be of
+    listed keys ``alone``, or be the ``rest``, whose keys may be large but have no cuts (see
+    ``keys_apart``).
+    """
 
     keys: tuple[str, ...]
     cuts: DataFrame
-
-    def shifted_back(self, width: str) -> HotKeys:
-        """Add every cut moved back by ``width``, to bound rows looked up that much earlier."""
-        moved = F.transform("_cuts", lambda c: c - F.expr(f"INTERVAL {width}"))
-        both = F.array_sort(F.array_union("_cuts", moved))
-        return HotKeys(self.keys, self.cuts.withColumn("_cuts", both))
+    largest: int
+    max_rows: int
+    more: bool = False
+    alone: bool = False
+    rest: bool = False
+
+    def for_scans(self) -> HotKeys | None:
+        """The keys that are hot for jobs without sliding frames."""
+        if self.alone or self.rest:
+            return self
+        if self.largest <= self.max_rows:
+            return None
+        return replace(self, cuts=self.cuts.where(F.col("_rows") > self.max_rows))
+
+    def shifted_back(self, widths: Sequence[str]) -> HotKeys:
+        """Add every cut moved back by each width, to bound rows looked up that much earlier."""
+        moved = [F.expr(f"transform(_cuts, c -> c - INTERVAL {width})") for width in widths]
+        both = F.array_sort(F.array_distinct(F.concat("_cuts", *moved)))
+        return replace(self, cuts=self.cuts.withColumn("_cuts", both))
 
 
 def not_null(columns: Sequence[str]) -> Column:
@@ -49,9 +70,13 @@ def not_null(columns: Sequence[str]) -> Column:
 
 
 def measure_hot_keys(
-    df: DataFrame, keys: Sequence[str], t: str, max_rows: int = MAX_ROWS
+    df: DataFrame,
+    keys: Sequence[str],
+    t: str,
+    max_rows: int = MAX_ROWS,
+    sliding_rows: int = SLIDING_ROWS,
 ) -> HotKeys | None:
-    """Find keys with more than ``max_rows`` rows and their cut points; None if there are none.
+    """Find keys with too many rows for one task, and their cut points; None if there are none.
 
     Runs at once: one map-side combined count, then, only if a key is hot, one mergeable quantile
     sketch over the hot rows. At most MAX_HOT_KEYS rows and MAX_CUTS cut points reach the driver.
@@ -61,14 +86,15 @@ def measure_hot_keys(
     hot = (
         timed.groupBy(*keys)
         .agg(F.count("*").alias("_n"))
-        .where(F.col("_n") > max_rows)
+        .where(F.col("_n") > sliding_rows)
         .orderBy(F.desc("_n"), *keys)
-        .limit(MAX_HOT_KEYS)
+        .limit(MAX_HOT_KEYS + 1)
         .collect()
     )
     if not hot:
         return None
-    rows_per_slice = max(max_rows, math.ceil(sum(r["_n"] for r in hot) / MAX_CUTS))
+    more, hot = len(hot) > MAX_HOT_KEYS, hot[:MAX_HOT_KEYS]
+    rows_per_slice = max(sliding_rows, math.ceil(sum(r["_n"] for r in hot) / MAX_CUTS))
     wanted = [min(MAX_SLICES, math.ceil(r["_n"] / rows_per_slice)) for r in hot]
     grid = 2 ** math.ceil(math.log2(max(2, *wanted)))
     fractions = ", ".join(f"{i / grid!r}D" for i in range(1, grid))
@@ -76,13 +102,16 @@ def measure_hot_keys(
     spark = df.sparkSession
     key_fields = [timed.schema[k] for k in keys]
     counts = spark.createDataFrame(
-        [(*(r[k] for k in keys), n) for r, n in zip(hot, wanted)],
-        T.StructType([*key_fields, T.StructField("_k", T.IntegerType())]),
+        [(*(r[k] for k in keys), r["_n"], n) for r, n in zip(hot, wanted)],
+        T.StructType(
+            [*key_fields, T.StructField("_rows", T.LongType()), T.StructField("_k", T.IntegerType())]
+        ),
     )
     sketched = (
         timed.join(F.broadcast(counts), keys)
         .groupBy(*keys)
         .agg(
+            F.max("_rows").alias("_rows"),
             F.max("_k").alias("_k"),
             F.expr(f"percentile_approx(`{t}`, array({fractions}), {4 * grid})").alias("_grid"),
         )
@@ -97,19 +126,25 @@ def measure_hot_keys(
                 )
             ),
         )
-        .select(*keys, "_cuts")
+        .select(*keys, "_rows", "_cuts")
         .collect()
     )
     cuts = spark.createDataFrame(
         [tuple(r) for r in sketched],
-        T.StructType([*key_fields, T.StructField("_cuts", T.ArrayType(timed.schema[t].dataType))]),
+        T.StructType(
+            [
+                *key_fields,
+                T.StructField("_rows", T.LongType()),
+                T.StructField("_cuts", T.ArrayType(timed.schema[t].dataType)),
+            ]
+        ),
     )
-    return HotKeys(tuple(keys), cuts)
+    return HotKeys(tuple(keys), cuts, hot[0]["_n"], max_rows, more)
 
 
 def _slice_of(t: Column) -> Column:
     """Number of cuts at or before ``t``, by binary search in the sorted array ``_cuts``."""
-    steps = F.array(*[F.lit(2**p) for p in range(12, -1, -1)])
+    steps = F.array(*[F.lit(2**p) for p in range(15, -1, -1)])
     cuts = F.col("_cuts")
     found = F.aggregate(
         steps,
@@ -120,12 +155,11 @@ def _slice_of(t: Column) -> Column:
 
 
 def with_slices(df: DataFrame, t: str, hot: HotKeys) -> DataFrame:
-    """Add ``_slice`` (0 for keys that are not hot) and ``_hot``."""
+    """Add ``_slice``, 0 for keys that are not hot."""
     return (
         df.join(F.broadcast(hot.cuts), list(hot.keys), "left")
-        .withColumn("_hot", F.col("_cuts").isNotNull())
         .withColumn(SLICE, _slice_of(F.col(t)))
-        .drop("_cuts")
+        .drop("_cuts", "_rows")
     )
 
 
@@ -143,12 +177,44 @@ def pin(df: DataFrame) -> DataFrame:
 def split_hot(df: DataFrame, hot: HotKeys) -> tuple[DataFrame, DataFrame]:
     """(rows of ordinary keys, rows of hot keys)."""
     keys = F.broadcast(hot.cuts.select(*hot.keys))
-    return (
-        df.join(keys, list(hot.keys), "left_anti"),
-        df.join(keys, list(hot.keys), "left_semi"),
+    return tuple(
+        df.join(keys, list(hot.keys), how).select(*df.columns)
+        for how in ("left_anti", "left_semi")
     )
 
 
+def keys_apart(*inputs: str, sliding: bool = False) -> Callable:
+    """Decorate a job that treats every key by itself and takes ``hot``.
+
+    Ordinary keys then run through the job's plain, lazy plan, and only the rows of hot keys
+    through its split one, so that what the split plan writes down is the hot rows. ``inputs``
+    names the parameters that hold rows by key. Jobs may nest: inner ones see ``hot.alone``.
+    ``sliding``: the job has sliding frames, so more keys are too large for it.
+    """
+
+    def decorate(job: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        signature = inspect.signature(job)
+
+        @wraps(job)
+        def apart(*args, **kwargs) -> DataFrame:
+            call = signature.bind(*args, **kwargs)
+            hot = call.arguments.get("hot")
+            if hot is not None and not sliding:
+                hot = call.arguments["hot"] = hot.for_scans()
+            if hot is None or hot.alone or hot.rest:
+                return job(**call.arguments)
+            parts = []
+            rest = replace(hot, rest=True) if hot.more else None
+            for which, heat in ((0, rest), (1, replace(hot, alone=True))):
+                rows = {n: split_hot(call.arguments[n], hot)[which] for n in inputs}
+                parts.append(job(**{**call.arguments, **rows, "hot": heat}))
+            return parts[0].unionByName(parts[1])
+
+        return apart
+
+    return decorate
+
+
 def join_one_per_key(
     events: DataFrame,
     one_per_key: DataFrame,
@@ -163,14 +229,15 @@ def join_one_per_key(
     shuffle by key, so a hot key is spread by its slices and its one row repeated per slice.
     """
     keys = list(keys)
-    if hot is None:
+    hot = hot and hot.for_scans()
+    if hot is None or hot.rest:
         return events.join(one_per_key, keys, how)
     spread = (
         one_per_key.join(F.broadcast(hot.cuts), list(hot.keys), "left")
         .withColumn(
             SLICE, F.explode(F.sequence(F.lit(0), F.coalesce(F.size("_cuts"), F.lit(0))))
         )
-        .drop("_cuts")
+        .drop("_cuts", "_rows")
     )
     joined = with_slices(events, t, hot).join(spread, [*keys, SLICE], how)
-    return joined.drop(SLICE, "_hot")
+    return joined.drop(SLICE)

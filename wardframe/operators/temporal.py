@@ -1,8 +1,8 @@
 """Operators over event series ordered by time within a key.
 
-Each takes ``hot`` (see ``skew``): None gives the plain, lazy window plan, one exchange and one
-sort; otherwise the sliced rows are written to the shared folder once, hot keys are windowed slice
-by slice, and a summary of the earlier slices is joined back.
+Each takes ``hot`` (see ``skew``). Ordinary keys get the plain, lazy window plan, one exchange and
+one sort. The rows of hot keys are written to the shared folder once, windowed slice by slice, and
+joined to a summary of their earlier slices.
 """
 
 from __future__ import annotations
@@ -15,8 +15,8 @@ from wardframe.operators.skew import (
     SLICE,
     HotKeys,
     join_one_per_key,
+    keys_apart,
     pin,
-    split_hot,
     with_slices,
 )
 
@@ -38,6 +38,7 @@ def seconds_between(later: Column, earlier: Column) -> Column:
     return F.unix_timestamp(later) - F.unix_timestamp(earlier)
 
 
+@keys_apart("df")
 def running(
     df: DataFrame,
     keys: Sequence[str],
@@ -61,7 +62,7 @@ def running(
         w = W.partitionBy(*group).orderBy(*[directed(c) for c in order])
         return w if peers else w.rowsBetween(W.unboundedPreceding, W.currentRow)
 
-    if hot is None:
+    if hot is None or hot.rest:
         w = over(keys)
         return df.withColumns({out: _RUNNING[fn][0](F.col(c)).over(w) for out, (fn, c) in aggs.items()})
 
@@ -77,8 +78,7 @@ def running(
     before = W.partitionBy(*keys).orderBy(directed(SLICE)).rowsBetween(W.unboundedPreceding, -1)
     merge = {"sum": "sum", "count": "sum", "min": "min", "max": "max", "last": "last"}
     carry = (
-        sliced.where("_hot")
-        .groupBy(*group)
+        sliced.groupBy(*group)
         .agg(*[total(fn, c).alias(f"_c_{out}") for out, (fn, c) in aggs.items()])
         .select(
             *group,
@@ -119,6 +119,7 @@ def within_anchor(
     return joined.where(F.col(t).between(start, end))
 
 
+@keys_apart("left", "right")
 def asof_backward(
     left: DataFrame,
     right: DataFrame,
@@ -157,6 +158,7 @@ def asof_backward(
     return matched.select("_left.*", "_match.*")
 
 
+@keys_apart("df", sliding=True)
 def rolling_range(
     df: DataFrame,
     keys: Sequence[str],
@@ -178,13 +180,7 @@ def rolling_range(
     timed = df.where(F.col(t).isNotNull())
     if hot is None:
         return _rolling_plain(timed, keys, t, specs)
-    ordinary, split = split_hot(timed, hot)
-    ordinary = _rolling_plain(ordinary, keys, t, specs)
-    for width in dict.fromkeys(width for *_, width in specs.values()):
-        split = _rolling_tiled(
-            split, keys, t, width, {o: s[:2] for o, s in specs.items() if s[2] == width}, hot
-        )
-    return ordinary.unionByName(split).select(*df.columns, *specs)
+    return _rolling_tiled(timed, keys, t, specs, hot).select(*df.columns, *specs)
 
 
 def _rolling_plain(df, keys, t, specs):
@@ -200,43 +196,77 @@ def _rolling_plain(df, keys, t, specs):
     )
 
 
-def _rolling_tiled(df, keys, t, width, aggs, hot):
-    """The same range aggregate from two running aggregates, which slices can split.
+def _rolling_tiled(df, keys, t, specs, hot):
+    """The same range aggregates from two running ones each, which slices can split.
 
     With time tiles as wide as the range, ``[t - width, t]`` is the part of t's tile up to t and
-    the part of the tile before it from ``t - width`` on.
+    the part of the tile before it from ``t - width`` on. Both are linear in the rows, while a
+    sliding frame visits all its rows at every row. Rows are combined per instant first, all
+    widths go through the same two steps, and the results join back on the instant.
     """
-    group = [*keys, "_tile"]
-    data = pin(df.withColumn("_tile", F.window(t, width).start))
-    upto = running(data, group, [t], {f"_u_{o}": a for o, a in aggs.items()}, hot)
-    inputs = {f"_i_{o}": c for o, (_, c) in aggs.items()}
+    widths = list(dict.fromkeys(width for *_, width in specs.values()))
+    partials = {pair: f"_a{i}" for i, pair in enumerate(dict.fromkeys(s[:2] for s in specs.values()))}
+    merged = {name: "sum" if fn == "count" else fn for (fn, _), name in partials.items()}
+
+    instants = df.groupBy(*keys, t).agg(
+        *[_RUNNING[fn][0](F.col(c)).alias(name) for (fn, c), name in partials.items()]
+    )
+    for i, width in enumerate(widths):
+        instants = instants.withColumn(f"_tile{i}", F.window(t, width).start)
+    per_width = F.explode(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(i).alias("w"),
+                    F.col(f"_tile{i}").alias("tile"),
+                    (F.col(f"_tile{i}") - interval(width)).alias("tile_before"),
+                    (F.col(t) - interval(width)).alias("since"),
+                )
+                for i, width in enumerate(widths)
+            ]
+        )
+    )
+    data = pin(
+        instants.withColumn("_x", per_width).select(
+            *keys, F.col("_x.w").alias("_w"), F.col("_x.tile").alias("_tile"),
+            F.col("_x.tile_before").alias("_before"), F.col("_x.since").alias("_since"),
+            F.col(t).alias("_at"), *partials.values(),
+        )
+    )
+    group = [*keys, "_w", "_tile"]
+    upto = running(data, group, ["_at"], {f"{n}_upto": (fn, n) for n, fn in merged.items()}, hot)
     lookups = upto.select(
         *keys,
-        (F.col("_tile") - interval(width)).alias("_tile"),
-        (F.col(t) - interval(width)).alias("_at"),
-        F.struct(*[c for c in upto.columns if c != "_tile"]).alias("_row"),
-    )
-    rows = data.select(
-        *group, F.col(t).alias("_at"), *[F.col(c).alias(i) for i, c in inputs.items()]
+        "_w",
+        F.col("_before").alias("_tile"),
+        F.col("_since").alias("_at"),
+        F.struct(F.col("_at").alias(t), *[f"{n}_upto" for n in merged]).alias("_row"),
     )
-    stacked = rows.unionByName(lookups, allowMissingColumns=True)
+    stacked = data.select(*group, "_at", *merged).unionByName(lookups, allowMissingColumns=True)
     since = running(
         stacked,
         group,
         ["_at"],
-        {f"_s_{o}": (fn, f"_i_{o}") for o, (fn, _) in aggs.items()},
-        hot.shifted_back(width),
+        {f"{n}_since": (fn, n) for n, fn in merged.items()},
+        hot.shifted_back(widths),
         descending=True,
     ).where(F.col("_row").isNotNull())
-    return since.select(
-        *[F.col(f"_row.{c}").alias(c) for c in df.columns],
+    ranges = since.groupBy(*keys, F.col(f"_row.{t}").alias(t)).agg(
         *[
-            _RUNNING[fn][1](F.col(f"_row._u_{o}"), F.col(f"_s_{o}")).alias(o)
-            for o, (fn, _) in aggs.items()
-        ],
+            F.max(
+                F.when(
+                    F.col("_w") == widths.index(width),
+                    _RUNNING[merged[n]][1](F.col(f"_row.{n}_upto"), F.col(f"{n}_since")),
+                )
+            ).alias(out)
+            for out, (fn, c, width) in specs.items()
+            for n in [partials[(fn, c)]]
+        ]
     )
+    return df.join(ranges, [*keys, t])
 
 
+@keys_apart("df")
 def previous_row(
     df: DataFrame,
     keys: Sequence[str],
@@ -247,14 +277,13 @@ def previous_row(
     """Add ``{out: column}`` of the row just before in ``order`` (total, first column the time)."""
     keys, order = list(keys), list(order)
     row = F.struct(*[F.col(c).alias(out) for out, c in cols.items()])
-    if hot is None:
+    if hot is None or hot.rest:
         w = W.partitionBy(*keys).orderBy(*order)
         return df.withColumns({out: F.lag(c).over(w) for out, c in cols.items()})
     group = [*keys, SLICE]
     sliced = pin(with_slices(df, order[0], hot))
     carry = (
-        sliced.where("_hot")
-        .groupBy(*group)
+        sliced.groupBy(*group)
         .agg(F.max_by(row, F.struct(*order)).alias("_last"))
         .withColumn("_carry", F.lag("_last").over(W.partitionBy(*keys).orderBy(SLICE)))
         .drop("_last")
@@ -268,6 +297,7 @@ def previous_row(
     )
 
 
+@keys_apart("df")
 def lag_gap(
     df: DataFrame,
     keys: Sequence[str],
@@ -281,6 +311,7 @@ def lag_gap(
     return prev.withColumn(out, seconds_between(F.col(t), F.col("_prev_t"))).drop("_prev_t")
 
 
+@keys_apart("df")
 def prev_within(
     df: DataFrame,
     keys: Sequence[str],
@@ -296,6 +327,7 @@ def prev_within(
     return prev.withColumns({out: F.when(near, F.col(out)) for out in cols}).drop("_prev_t")
 
 
+@keys_apart("df")
 def rolling_median(
     df: DataFrame,
     keys: Sequence[str],
@@ -314,7 +346,7 @@ def rolling_median(
         values = F.array_sort(F.filter(items, lambda v: v.isNotNull()))
         return F.get(values, ((F.size(values) - 1) / F.lit(2)).cast("int"))
 
-    if hot is None:
+    if hot is None or hot.rest:
         w = W.partitionBy(*keys).orderBy(*order).rowsBetween(-before, after)
         return df.withColumn(out, lower_median(F.collect_list(value).over(w)))
 
@@ -324,7 +356,7 @@ def rolling_median(
     backwards = W.partitionBy(*group).orderBy(*[F.desc(c) for c in order])
     # The first and last few rows of each slice, newest first, are what its neighbours need.
     # Every slice present has at least one row, so `before` slices hold `before` rows.
-    edges = sliced.where("_hot").withColumns(
+    edges = sliced.withColumns(
         {"_rank": F.row_number().over(w), "_back": F.row_number().over(backwards)}
     )
     edges = (
@@ -366,6 +398,7 @@ def rolling_median(
     return shifted.withColumn(out, lower_median(items)).select(*df.columns, out)
 
 
+@keys_apart("df")
 def running_max(
     df: DataFrame,
     keys: Sequence[str],
@@ -382,6 +415,7 @@ def running_max(
     return highest.withColumnRenamed("_highest", out)
 
 
+@keys_apart("df")
 def sessionize(
     df: DataFrame,
     keys: Sequence[str],

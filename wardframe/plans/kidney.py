@@ -8,7 +8,7 @@ from wardframe.functions import codes as C
 from wardframe.operators import temporal as tp
 from wardframe.operators.cohort import KEYS
 from wardframe.operators.rules import Unit, normalize_units, without_errors
-from wardframe.operators.skew import HotKeys, join_one_per_key, not_null
+from wardframe.operators.skew import HotKeys, join_one_per_key, keys_apart, not_null
 
 WEIGHT_UNITS = [
     *[Unit(i, "weight") for i in C.WEIGHT_KG],
@@ -50,6 +50,7 @@ def urine_volume(outputevents: DataFrame) -> DataFrame:
     )
 
 
+@keys_apart("urine", "weights", sliding=True)
 def urine_stats(urine: DataFrame, weights: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Coverage, density and weight-normalised hourly rate over trailing 6, 12 and 24 hours.
 

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from wardframe.functions import codes as C
 from wardframe.operators import temporal as tp
 from wardframe.operators.rules import without_errors
-from wardframe.operators.skew import HotKeys
+from wardframe.operators.skew import HotKeys, keys_apart
 
 STAY = ["icustay_id"]
 FLAGS = ["mechvent", "oxygentherapy", "extubated", "selfextubated"]
@@ -64,6 +64,7 @@ def vent_settings(chartevents: DataFrame, procedureevents: DataFrame) -> DataFra
     return charted.unionByName(procedures).distinct()
 
 
+@keys_apart("settings")
 def vent_durations(settings: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Ventilation episodes per stay.
 
