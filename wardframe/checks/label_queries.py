@@ -109,7 +109,7 @@ for _c in ("aki", "anemia", "pi"):
     WHERE stage >= 1 AND hadm_id IS NOT NULL GROUP BY {KEY}"""
 
     def _register(key: str, sql: str, job, condition: str = _c) -> None:
-        query(f"{key}_{condition}", sql)(lambda r: job(spec(r, condition)))
+        query(f"{key}_{condition}", sql, staged=True)(lambda r: job(spec(r, condition)))
 
     _register("l1_note_evidence", note_sql("st_acquired_notes"), L.note_evidence)
     _register(

@@ -25,11 +25,13 @@ def rounded(df: DataFrame) -> DataFrame:
     )
 
 
-def query(key: str, sql: str, split: bool = False):
+def query(key: str, sql: str, split: bool = False, staged: bool = False):
     """Register a job over the role views; ``split`` adds a run with its busy keys cut up."""
 
     def runner(job: Callable[[Roles], DataFrame], max_rows: int):
-        return lambda spark, sf_dir: rounded(job(Roles(configure(spark), sf_dir, max_rows)))
+        return lambda spark, sf_dir: rounded(
+            job(Roles(configure(spark), sf_dir, max_rows, staged))
+        )
 
     def register(job: Callable[[Roles], DataFrame]):
         QUERIES[key] = runner(job, MAX_ROWS)

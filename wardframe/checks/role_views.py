@@ -13,7 +13,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from wardframe.operators.skew import MAX_ROWS, SLIDING_ROWS, HotKeys, measure_hot_keys
+from wardframe.operators.skew import MAX_ROWS, SLIDING_ROWS, HotKeys, measure_hot_keys, pin
 
 KEYS = ["subject_id", "hadm_id"]
 
@@ -26,8 +26,12 @@ def _case(selector: str, *branches: tuple[object, object], default: object) -> C
 
 
 class Roles:
-    def __init__(self, spark: SparkSession, sf_dir: str, max_rows: int = MAX_ROWS):
-        self.spark, self.sf_dir, self.max_rows = spark, sf_dir, max_rows
+    """``staged``: write the derived admissions down once, for queries that read them often."""
+
+    def __init__(
+        self, spark: SparkSession, sf_dir: str, max_rows: int = MAX_ROWS, staged: bool = False
+    ):
+        self.spark, self.sf_dir, self.max_rows, self.staged = spark, sf_dir, max_rows, staged
         self._hot: dict[tuple[str, ...], HotKeys | None] = {}
 
     def table(self, name: str) -> DataFrame:
@@ -70,7 +74,7 @@ class Roles:
             "TIMESTAMP_NTZ'2024-01-01' + make_dt_interval(CAST(hadm_id % 10 * 10 AS INT))"
         )
         died = F.expr("hadm_id % 11 = 0")
-        return (
+        admissions = (
             self.events.select(*KEYS)
             .distinct()
             .withColumn("admittime", start)
@@ -109,6 +113,7 @@ class Roles:
             )
             .withColumn("hospital_expire_flag", F.when(died, 1).otherwise(0))
         )
+        return pin(admissions) if self.staged else admissions
 
     @cached_property
     def icustays(self) -> DataFrame:
@@ -132,7 +137,7 @@ class Roles:
                 F.expr("CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END").alias("gender"),
                 born.cast("timestamp_ntz").alias("dob"),
             )
-            .join(self.events.select("subject_id").distinct(), "subject_id", "left_semi")
+            .join(self.admissions.select("subject_id"), "subject_id", "left_semi")
         )
 
     @cached_property

@@ -155,7 +155,11 @@ def asof_backward(
     ).where("_side = 1")
     if how == "inner":
         matched = matched.where(F.col("_match").isNotNull())
-    return matched.select("_left.*", "_match.*")
+    # Keys and time come from the stacked columns, so later windows see the partitioning and order.
+    stacked_as = {lt: "_t", **{k: k for k in keys}}
+    return matched.select(
+        *[F.col(stacked_as.get(c, f"_left.{c}")).alias(c) for c in left.columns], "_match.*"
+    )
 
 
 @keys_apart("df", sliding=True)
@@ -273,28 +277,42 @@ def previous_row(
     order: Sequence[str],
     cols: Mapping[str, str],
     hot: HotKeys | None = None,
+    where: Column | None = None,
 ) -> DataFrame:
-    """Add ``{out: column}`` of the row just before in ``order`` (total, first column the time)."""
+    """Add ``{out: column}`` of the row just before in ``order`` (total, first column the time).
+
+    With ``where``, of the last row before for which it holds.
+    """
     keys, order = list(keys), list(order)
     row = F.struct(*[F.col(c).alias(out) for out, c in cols.items()])
+    at = F.struct(*order)
+    if where is not None:
+        row, at = F.when(where, row), F.when(where, at)
+
+    def before(group: list[str]) -> Column:
+        w = W.partitionBy(*group).orderBy(*order)
+        if where is None:
+            return F.lag(row).over(w)
+        return F.last(row, ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, -1))
+
     if hot is None or hot.rest:
-        w = W.partitionBy(*keys).orderBy(*order)
-        return df.withColumns({out: F.lag(c).over(w) for out, c in cols.items()})
-    group = [*keys, SLICE]
-    sliced = pin(with_slices(df, order[0], hot))
-    carry = (
-        sliced.groupBy(*group)
-        .agg(F.max_by(row, F.struct(*order)).alias("_last"))
-        .withColumn("_carry", F.lag("_last").over(W.partitionBy(*keys).orderBy(SLICE)))
-        .drop("_last")
-    )
-    w = W.partitionBy(*group).orderBy(*order)
-    return (
-        sliced.withColumn("_prev", F.lag(row).over(w))
-        .join(carry, group, "left")
-        .withColumn("_prev", F.coalesce("_prev", "_carry"))
-        .select(*df.columns, *[F.col(f"_prev.{out}").alias(out) for out in cols])
-    )
+        found = df.withColumn("_prev", before(keys))
+    else:
+        group = [*keys, SLICE]
+        sliced = pin(with_slices(df, order[0], hot))
+        earlier = W.partitionBy(*keys).orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)
+        carry = (
+            sliced.groupBy(*group)
+            .agg(F.max_by(row, at).alias("_last"))
+            .withColumn("_carry", F.last("_last", ignorenulls=True).over(earlier))
+            .drop("_last")
+        )
+        found = (
+            sliced.withColumn("_prev", before(group))
+            .join(carry, group, "left")
+            .withColumn("_prev", F.coalesce("_prev", "_carry"))
+        )
+    return found.select(*df.columns, *[F.col(f"_prev.{out}").alias(out) for out in cols])
 
 
 @keys_apart("df")

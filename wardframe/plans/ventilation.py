@@ -72,11 +72,15 @@ def vent_durations(settings: DataFrame, hot: HotKeys | None = None) -> DataFrame
     than eight hours without a ventilation setting.
     """
     vented, out = F.col("mechvent") == 1, F.col("extubated") == 1
-    lagged = tp.previous_row(settings, [*STAY, "mechvent"], ORDER, {"_vent_time": "charttime"}, hot)
-    lagged = lagged.withColumn("_event", (vented | out).cast("int"))
-    lagged = tp.previous_row(lagged, [*STAY, "_event"], ORDER, {"_extubated": "extubated"}, hot)
+    # "The previous ventilated row" and "the previous event" in one order of the stay: one sort.
+    lagged = tp.previous_row(
+        settings, STAY, ORDER, {"_vent_time": "charttime"}, hot, where=vented
+    )
+    lagged = tp.previous_row(
+        lagged, STAY, ORDER, {"_extubated": "extubated"}, hot, where=vented | out
+    )
     new = (
-        F.when(F.col("_extubated") == 1, 1)
+        F.when((vented | out) & (F.col("_extubated") == 1), 1)
         .when((F.col("mechvent") == 0) & (F.col("oxygentherapy") == 1), 1)
         .when(vented & (F.col("charttime") > F.col("_vent_time") + tp.interval(MAX_PAUSE)), 1)
         .otherwise(0)
