@@ -177,6 +177,7 @@ def sessionize(r):
       ON i.icustay_id = e.icustay_id AND ((e.starttime <= i.intime AND e.endtime >= i.intime)
         OR (e.starttime >= i.intime AND e.starttime <= i.intime + INTERVAL 1 DAY))
     GROUP BY i.icustay_id, i.intime""",
+    split=True,
 )
 def interval_overlap_flag(r):
     episodes = r.of_type("error").select(
@@ -185,7 +186,8 @@ def interval_overlap_flag(r):
         (F.col("charttime") + F.expr("INTERVAL 2 HOURS")).alias("endtime"),
     )
     stays = r.icustays.select("icustay_id", "intime")
-    return tp.overlap_flag(stays, episodes, "icustay_id", "intime", "1 DAY")
+    hot = r.hot("icustay_id")
+    return tp.overlap_flag(stays, episodes, "icustay_id", "intime", "1 DAY", hot=hot)
 
 
 @query(

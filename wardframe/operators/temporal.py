@@ -475,14 +475,15 @@ def overlap_flag(
     anchor: str,
     width: str,
     out: str = "flag",
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Stays with 1 if an episode covers the anchor or starts within ``width`` after it, else 0."""
     a, start, end = F.col(anchor), F.col("starttime"), F.col("endtime")
     covers = (start <= a) & (end >= a)
     starts = (start >= a) & (start <= a + interval(width))
+    spans = episodes.select(key, "starttime", "endtime")
     hits = (
-        episodes.select(key, "starttime", "endtime")
-        .join(stays.select(key, anchor), key)
+        join_one_per_key(spans, stays.select(key, anchor), [key], "starttime", hot)
         .where(covers | starts)
         .select(key)
         .distinct()

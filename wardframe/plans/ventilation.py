@@ -90,8 +90,9 @@ def vent_durations(settings: DataFrame, hot: HotKeys | None = None) -> DataFrame
     ).withColumnRenamed("seq", "ventnum")
 
 
-def vent_first_day(icustays: DataFrame, durations: DataFrame) -> DataFrame:
+def vent_first_day(
+    icustays: DataFrame, durations: DataFrame, hot: HotKeys | None = None
+) -> DataFrame:
     stays = icustays.select("subject_id", "hadm_id", "icustay_id", "intime")
-    return tp.overlap_flag(stays, durations, "icustay_id", "intime", "1 DAY", "vent").select(
-        "subject_id", "hadm_id", "icustay_id", "vent"
-    )
+    flagged = tp.overlap_flag(stays, durations, "icustay_id", "intime", "1 DAY", "vent", hot)
+    return flagged.select("subject_id", "hadm_id", "icustay_id", "vent")

@@ -47,11 +47,11 @@ def read_note_labels(spark: SparkSession, path: str) -> DataFrame:
 def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Write with a header, NULL as an empty field, one file per task unless asked for one."""
     writer = (df.coalesce(1) if single_file else df).write.mode("overwrite")
-    # Quotes are doubled and texts keep their blanks, so that `read_table` gives the rows back.
+    # Quotes are doubled and texts keep their blanks, so that `read_table` gives the rows back;
+    # only an empty text reads as NULL.
     (
         writer.option("header", True)
         .option("escape", '"')
-        .option("emptyValue", '""')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]")
