@@ -108,7 +108,7 @@ def test_load_catalog_and_audits(spark, folder):
     assert {r["column"]: r["null_count"] for r in nulls.collect()} == {"row_id": 0, "subject_id": 1}
     with pytest.raises(Exception):
         tables.load_catalog(spark, str(folder), "load_test", mode="error", tables=names)
-    tables.load_catalog(spark, str(folder), "load_test", mode="append", tables=["caregivers"])
+    tables.load_catalog(spark, str(folder), "load_test", mode="append", tables=["caregivers"], one_line=["caregivers"])
     assert spark.table("load_test.caregivers").count() == 4
 
 

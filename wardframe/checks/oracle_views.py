@@ -129,9 +129,10 @@ VIEWS = {
             AS valueuom,
           CASE WHEN row_id % 50 = 0 THEN 1 END AS error
         FROM fx_events WHERE event_type = 'signup'""",
-    "fx_fast_creatinine": """
-        SELECT row_id, subject_id, hadm_id, charttime, round(0.4 + value * 0.4, 4) AS creatinine
-        FROM fx_urine WHERE row_id % 4 = 0""",
+    "fx_fast_creatinine": f"""
+        SELECT row_id, subject_id, subject_id AS hadm_id, {FAST},
+          round(0.4 + value / 50, 4) AS creatinine
+        FROM fx_events WHERE event_type = 'view'""",
     "fx_fast_admissions": """
         SELECT DISTINCT subject_id, hadm_id, TIMESTAMP '2024-01-01' AS admittime FROM fx_urine""",
     "fx_outputs": """
@@ -162,7 +163,7 @@ VIEWS = {
           CASE row_id % 10 WHEN 0 THEN 'To Bone' WHEN 1 THEN 'Partial thickness'
             WHEN 2 THEN 'Full Thickness' WHEN 3 THEN 'Red, Unbroken' ELSE 'Healed' END AS value,
           CASE WHEN row_id % 50 = 0 THEN 1 END AS error
-        FROM fx_events WHERE event_type = 'error' AND row_id % 3 <> 0""",
+        FROM fx_events WHERE event_type = 'error'""",
 }
 
 

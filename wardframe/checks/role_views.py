@@ -289,7 +289,7 @@ class Roles:
             ).alias("itemid"),
         )
 
-    def _fast(self, df: DataFrame) -> Column:
+    def _fast(self) -> Column:
         return F.expr(
             "timestampadd(MICROSECOND, (unix_micros(CAST(charttime AS TIMESTAMP)) - "
             "unix_micros(CAST(TIMESTAMP_NTZ'2024-01-01' AS TIMESTAMP))) div 24, "
@@ -303,20 +303,19 @@ class Roles:
             "subject_id",
             F.col("subject_id").alias("hadm_id"),
             F.lit(40055).alias("itemid"),
-            self._fast(self.events),
+            self._fast(),
             (F.col("value") / 20).alias("value"),
             F.expr("CASE WHEN row_id % 97 = 0 THEN 1 END").alias("iserror"),
         )
 
     @cached_property
     def weights(self) -> DataFrame:
-        signups = self.of_type("signup")
-        return signups.select(
+        return self.of_type("signup").select(
             "row_id",
             "subject_id",
             F.col("subject_id").alias("hadm_id"),
             _case("row_id % 3", (0, 762), (1, 3581), default=3582).alias("itemid"),
-            self._fast(signups),
+            self._fast(),
             F.expr(
                 "CASE row_id % 3 WHEN 0 THEN 50 + value / 10 WHEN 1 THEN 110 + value / 5 "
                 "ELSE 1760 + value * 3 END"
@@ -329,8 +328,12 @@ class Roles:
 
     @cached_property
     def fast_creatinine(self) -> DataFrame:
-        return self.urine.where("row_id % 4 = 0").select(
-            "row_id", *KEYS, "charttime", F.round(0.4 + F.col("value") * 0.4, 4).alias("creatinine")
+        return self.of_type("view").select(
+            "row_id",
+            "subject_id",
+            F.col("subject_id").alias("hadm_id"),
+            self._fast(),
+            F.round(0.4 + F.col("value") / 50, 4).alias("creatinine"),
         )
 
     @cached_property
@@ -402,7 +405,7 @@ class Roles:
 
     @cached_property
     def pi(self) -> DataFrame:
-        return self.of_type("error").where("row_id % 3 <> 0").select(
+        return self.of_type("error").select(
             "row_id",
             *KEYS,
             "charttime",

@@ -11,10 +11,12 @@ from pyspark.sql import SparkSession
 def configure(spark: SparkSession) -> SparkSession:
     """Turn on runtime re-planning; every setting here can be set on a live session.
 
+    The tables' times have no zone, so their differences must not see clock changes: UTC.
     ``forceOptimizeSkewedJoin`` lets Spark split a skewed join partition even when a later
     aggregate wants the same partitioning, which is the usual shape here (join to admissions,
     then group by admission).
     """
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")

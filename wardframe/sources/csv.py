@@ -14,12 +14,14 @@ def read_table(
     schema: StructType | str,
     gz: bool = False,
     partitions: int | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Read a CSV file under a declared schema; a malformed row or another header aborts.
 
     Columns come out in lower case. Quoted fields may span lines, so a file is one task whether
     compressed or not: for large tables give a folder of files, or ``partitions`` to spread the
-    rows before they are worked on.
+    rows before they are worked on. Where no field has a line break, ``multi_line=False`` lets
+    Spark read a plain file in splits.
     """
     schema = struct(schema) if isinstance(schema, str) else schema
     # Header names are compared without regard to case, order counts.
@@ -29,7 +31,7 @@ def read_table(
         .option("enforceSchema", False)
         .option("mode", "FAILFAST")
         .option("escape", '"')
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .csv(f"{path}.gz" if gz else path)
     )
     df = df.toDF(*[c.lower() for c in df.columns])

@@ -46,11 +46,13 @@ def _load(
     partitions: int | None,
     buckets: int,
     file_name: Callable[[str], str],
+    one_line: Iterable[str] = (),
 ) -> list[str]:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
     loaded = []
     for table in registry if tables is None else tables:
-        df = read_table(spark, f"{src}/{file_name(table)}.csv", registry[table], gz, partitions)
+        path = f"{src}/{file_name(table)}.csv"
+        df = read_table(spark, path, registry[table], gz, partitions, table not in one_line)
         name = f"{db}.{table}"
         if table in BUCKET_SORT:
             write_bucketed(
@@ -73,10 +75,15 @@ def load_catalog(
     gz: bool = False,
     partitions: int | None = None,
     buckets: int = BUCKETS,
+    one_line: Iterable[str] = (),
 ) -> list[str]:
-    """Load the clinical tables (files named like the table, in capitals) into a database."""
+    """Load the clinical tables (files named like the table, in capitals) into a database.
+
+    ``one_line`` names tables known to have no line break within a field, to be read in splits.
+    """
+    one_line = set(one_line)
     return _load(
-        spark, CLINICAL, src, db, mode, fmt, tables, gz, partitions, buckets, str.upper
+        spark, CLINICAL, src, db, mode, fmt, tables, gz, partitions, buckets, str.upper, one_line
     )
 
 
