@@ -41,9 +41,7 @@ def spec(r: Roles, condition: str) -> L.ConditionSpec:
 STEPS["st_icd_aki"] = f"""
     SELECT subject_id, hadm_id,
       bool_or(icd9_code IN ({in_list(C.ACUTE_KIDNEY_ICD9)})) AS label
-    FROM fx_diagnoses a LEFT JOIN (SELECT subject_id AS s, hadm_id AS h FROM st_crf) c
-      ON a.subject_id = c.s AND a.hadm_id = c.h
-    WHERE c.s IS NULL OR c.h IS NULL GROUP BY subject_id, hadm_id"""
+    FROM fx_diagnoses ANTI JOIN st_crf USING (subject_id, hadm_id) GROUP BY ALL"""
 for _condition, _groups in (("anemia", C.ANEMIA_CCS), ("pi", C.PRESSURE_INJURY_CCS)):
     STEPS[f"st_icd_{_condition}"] = f"""
     SELECT subject_id, hadm_id, bool_or(ccs_id IN ({in_list(_groups)})) AS label
@@ -53,10 +51,7 @@ STEPS["st_poa_notes"] = """
     SELECT DISTINCT subject_id, hadm_id
     FROM fx_notes JOIN fx_admissions USING (subject_id, hadm_id)
     WHERE label AND "timestamp" <= admittime + INTERVAL 48 HOUR"""
-STEPS["st_acquired_notes"] = """
-    SELECT n.* FROM fx_notes n LEFT JOIN st_poa_notes t
-      ON n.subject_id = t.subject_id AND n.hadm_id = t.hadm_id
-    WHERE t.hadm_id IS NULL OR t.subject_id IS NULL"""
+STEPS["st_acquired_notes"] = "SELECT * FROM fx_notes ANTI JOIN st_poa_notes USING (subject_id, hadm_id)"
 
 
 def note_sql(source: str) -> str:
@@ -95,10 +90,9 @@ for _c in ("aki", "anemia", "pi"):
     SELECT DISTINCT subject_id, hadm_id
     FROM st_running_{_c} JOIN fx_admissions USING (subject_id, hadm_id)
     WHERE stage >= 1 AND charttime <= admittime + INTERVAL 48 HOUR"""
-    STEPS[f"st_acquired_{_c}"] = f"""
-    SELECT r.* FROM st_running_{_c} r LEFT JOIN st_poa_{_c} t
-      ON r.subject_id = t.subject_id AND r.hadm_id = t.hadm_id
-    WHERE t.hadm_id IS NULL OR t.subject_id IS NULL"""
+    STEPS[f"st_acquired_{_c}"] = (
+        f"SELECT * FROM st_running_{_c} ANTI JOIN st_poa_{_c} USING (subject_id, hadm_id)"
+    )
     STEPS[f"st_labels_{_c}"] = labels_sql("st_acquired_notes", f"st_acquired_{_c}", f"st_icd_{_c}")
     STEPS[f"st_any_labels_{_c}"] = labels_sql("fx_notes", f"st_running_{_c}", f"st_icd_{_c}")
     STEPS[f"st_onset_notes_{_c}"] = f"""

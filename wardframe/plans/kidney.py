@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from wardframe.functions import codes as C
 from wardframe.operators import temporal as tp
@@ -122,29 +122,34 @@ def creatinine_increase(creatinines: DataFrame, hot: HotKeys | None = None) -> D
     return lowest.withColumn("increase", F.col("creatinine") - F.col("lowest")).drop("lowest")
 
 
-# What counts as evidence, on the joined creatinine and urine columns.
-AKI_FLAGS = {
-    "stage3_cr": "creatinine >= 3.0D * baseline",
-    "stage3_wnur": (
-        "(max_wnrate_24h < 0.3D AND charttime > first_24h + INTERVAL 23 HOURS"
-        f" AND max_lag_24h < {MAX_GAP_SECONDS})"
-        " OR (max_wnrate_12h = 0.0D AND charttime > first_12h + INTERVAL 11 HOURS"
-        f" AND max_lag_12h < {MAX_GAP_SECONDS})"
-    ),
-    "stage3_cr_thresh": "creatinine >= 4.0D",
-    "stage3_cr_inc": "increase >= 0.5D",
-    "stage2_cr": "creatinine >= 2.0D * baseline",
-    "stage2_wnur": (
-        "max_wnrate_12h < 0.5D AND charttime > first_12h + INTERVAL 11 HOURS"
-        f" AND max_lag_12h < {MAX_GAP_SECONDS}"
-    ),
-    "stage1_cr": "creatinine >= 1.5D * baseline",
-    "stage1_wnur": (
-        "max_wnrate_6h < 0.5D AND charttime > first_6h + INTERVAL 5 HOURS"
-        f" AND max_lag_6h < {MAX_GAP_SECONDS}"
-    ),
-    "stage1_cr_inc": "increase >= 0.3D",
-}
+# Fixed values of the staging rules.
+CREATININE_RATIOS = {"stage3_cr": 3.0, "stage2_cr": 2.0, "stage1_cr": 1.5}  # of the baseline
+CREATININE_RISES = {"stage3_cr_inc": 0.5, "stage1_cr_inc": 0.3}  # mg/dL in 48 hours
+CREATININE_SEVERE = 4.0
+LOW_URINE_RATES = {"stage3_wnur": (24, 0.3), "stage2_wnur": (12, 0.5), "stage1_wnur": (6, 0.5)}
+NO_URINE_HOURS = 12
+
+
+def _covered(hours: int) -> Column:
+    """The range is known over all but its last hour, without a gap of an hour and a half."""
+    known_since = F.col(f"first_{hours}h") + tp.interval(f"{hours - 1} HOURS")
+    return (F.col("charttime") > known_since) & (F.col(f"max_lag_{hours}h") < MAX_GAP_SECONDS)
+
+
+def _aki_flags() -> dict[str, Column]:
+    creatinine, rise = F.col("creatinine"), F.col("increase")
+    low = {
+        name: (F.col(f"max_wnrate_{h}h") < limit) & _covered(h)
+        for name, (h, limit) in LOW_URINE_RATES.items()
+    }
+    none = (F.col(f"max_wnrate_{NO_URINE_HOURS}h") == 0.0) & _covered(NO_URINE_HOURS)
+    low["stage3_wnur"] = low["stage3_wnur"] | none
+    return {
+        **{n: creatinine >= F.col("baseline") * ratio for n, ratio in CREATININE_RATIOS.items()},
+        **{n: rise >= step for n, step in CREATININE_RISES.items()},
+        "stage3_cr_thresh": creatinine >= CREATININE_SEVERE,
+        **low,
+    }
 
 
 def aki_stages(
@@ -167,7 +172,7 @@ def aki_stages(
         both = labs.withColumns({c: F.lit(None).cast(ty) for c, ty in missing.items()})
     else:
         both = labs.join(urine_stats, URINE_TIME, "full")
-    flags = both.select(*URINE_TIME, *[F.expr(e).alias(n) for n, e in AKI_FLAGS.items()])
+    flags = both.select(*URINE_TIME, *[c.alias(n) for n, c in _aki_flags().items()])
     risk = (
         F.when(
             F.col("stage3_cr")
