@@ -42,6 +42,8 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Texts can be long: bound what one Arrow batch holds.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

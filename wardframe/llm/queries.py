@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from wardframe.llm.ngram_join import OP5_SQL, op5_ngram_jaccard_join
 from wardframe.llm.quality_rules import op10_robust_outliers
 from wardframe.llm.sharding import op8_shuffled_shards
+from wardframe.llm.substring_dedup import OP2_SQL, op2_substring_dedup
 
 QUERIES = {
+    "op2_substring_dedup": op2_substring_dedup,
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op8_shuffled_shards": op8_shuffled_shards,
     "op10_robust_outliers": op10_robust_outliers,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op2_substring_dedup": OP2_SQL,
+    "op5_ngram_jaccard_join": OP5_SQL,
+}
