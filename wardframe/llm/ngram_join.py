@@ -340,7 +340,7 @@ WITH RECURSIVE words AS MATERIALIZED (
   SELECT DISTINCT doc_id, array_to_string(w[s : s + 4], ' ') AS g FROM places
 ), sizes AS (
   SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
-), overlaps AS (
+), common_count AS (
   SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k
   FROM shingle a JOIN shingle b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2
 ), links AS MATERIALIZED (
