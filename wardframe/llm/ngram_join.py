@@ -344,7 +344,7 @@ WITH RECURSIVE words AS MATERIALIZED (
   SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k
   FROM shingle a JOIN shingle b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2
 ), links AS MATERIALIZED (
-  SELECT o.x, o.y FROM overlaps o JOIN sizes p ON p.doc_id = o.x JOIN sizes q ON q.doc_id = o.y
+  SELECT o.x, o.y FROM common_count o JOIN sizes p ON p.doc_id = o.x JOIN sizes q ON q.doc_id = o.y
   WHERE 100 * o.k >= 75 * (p.n + q.n - o.k)
 ), reach AS (
   SELECT DISTINCT x AS doc_id, x AS r FROM links
