@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 from wardframe.llm.ngram_join import OP5_SQL, op5_ngram_jaccard_join
+from wardframe.llm.packing import op1_best_fit_packing
+from wardframe.llm.quality_classifier import op6_quality_classifier
 from wardframe.llm.quality_rules import op10_robust_outliers
 from wardframe.llm.sharding import op8_shuffled_shards
 from wardframe.llm.substring_dedup import OP2_SQL, op2_substring_dedup
+from wardframe.llm.toxicity import op3_toxicity
 
 QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_toxicity": op3_toxicity,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op6_quality_classifier": op6_quality_classifier,
     "op8_shuffled_shards": op8_shuffled_shards,
     "op10_robust_outliers": op10_robust_outliers,
 }
