@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from wardframe.llm.decontamination import op4_benchmark_decontamination
 from wardframe.llm.ngram_join import OP5_SQL, op5_ngram_jaccard_join
 from wardframe.llm.packing import op1_best_fit_packing
 from wardframe.llm.quality_classifier import op6_quality_classifier
@@ -14,6 +15,7 @@ QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_toxicity": op3_toxicity,
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_quality_classifier": op6_quality_classifier,
     "op8_shuffled_shards": op8_shuffled_shards,
