@@ -9,6 +9,7 @@ from wardframe.llm.quality_classifier import op6_quality_classifier
 from wardframe.llm.quality_rules import op10_robust_outliers
 from wardframe.llm.sharding import op8_shuffled_shards
 from wardframe.llm.substring_dedup import OP2_SQL, op2_substring_dedup
+from wardframe.llm.token_counts import op9_token_counts
 from wardframe.llm.toxicity import op3_toxicity
 
 QUERIES = {
@@ -19,6 +20,7 @@ QUERIES = {
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_quality_classifier": op6_quality_classifier,
     "op8_shuffled_shards": op8_shuffled_shards,
+    "op9_token_counts": op9_token_counts,
     "op10_robust_outliers": op10_robust_outliers,
 }
 
