@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from wardframe.llm.decontamination import op4_benchmark_decontamination
+from wardframe.llm.lm_scoring import op7_lm_scoring
 from wardframe.llm.ngram_join import OP5_SQL, op5_ngram_jaccard_join
 from wardframe.llm.packing import op1_best_fit_packing
 from wardframe.llm.quality_classifier import op6_quality_classifier
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_quality_classifier": op6_quality_classifier,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_shuffled_shards": op8_shuffled_shards,
     "op9_token_counts": op9_token_counts,
     "op10_robust_outliers": op10_robust_outliers,
