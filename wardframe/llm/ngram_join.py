@@ -8,8 +8,8 @@ A document's set is its distinct five-word shingles; two documents link when 100
    the groups of similar documents. Nodes without a link are groups of one.
 2. *Matrix.* Every node's prefix (enough of its tokens in one global order that any two linked nodes
    share a prefix token) is laid out by token, and each token keeps the groups it occurs in, with
-   bounds on the lengths and on the tokens left. A node queries the groups of *other* components that
-   share a token and pass these bounds. Where they meet, the group's token union bounds the overlap;
+   their smallest and largest set. A node queries the groups of *other* components whose sizes fit and
+   that share as many prefix tokens as a link needs. Where they meet, the group's token union bounds the overlap;
    only groups that reach 75% of the query's own size are opened and compared set by set, until one
    link shows, since the group hangs together already.
 
@@ -26,7 +26,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from wardframe.llm.common import Stages, lower_words_of, per_row, run_hashes, signed, table, word_hashes
 from wardframe.llm.components import components
@@ -79,7 +79,7 @@ def shared(x: np.ndarray, y: np.ndarray) -> int:
 
 # ---------------------------------------------------------------- passes over the texts
 
-PROFILE = "doc_id long, n int, node long, bands array<long>, token long, times long"
+PROFILE = "row long, doc_id long, n int, node long, bands array<long>, token long, times long"
 
 
 def _profile(batches):
@@ -89,14 +89,15 @@ def _profile(batches):
     def frequent():
         values, times = np.unique(np.concatenate(held), return_counts=True)
         often = times >= 4
-        return pd.DataFrame({"doc_id": None, "n": None, "node": None, "bands": None, "token": signed(values[often]), "times": times[often]}).astype(
-            {"doc_id": "Int64", "n": "Int32", "node": "Int64", "token": "Int64", "times": "Int64"}
+        return pd.DataFrame({"row": None, "doc_id": None, "n": None, "node": None, "bands": None, "token": signed(values[often]), "times": times[often]}).astype(
+            {"row": "Int64", "doc_id": "Int64", "n": "Int32", "node": "Int64", "token": "Int64", "times": "Int64"}
         )
 
     for part in per_row(batches, lambda p: p):
         sets = [shingles(t) for t in part["text"]]
         yield pd.DataFrame(
             {
+                "row": part["row"].astype("Int64").array,
                 "doc_id": part["doc_id"].astype("Int64").array,
                 "n": pd.array([len(s) for s in sets], dtype="Int32"),
                 "node": pd.array([node_of(s) if len(s) else None for s in sets], dtype="Int64"),
@@ -140,7 +141,6 @@ def _postings(frequent):
                         "token": signed(np.concatenate([x[0] for x in out])),
                         "node": np.repeat(np.array([x[1] for x in out], dtype=np.int64), sizes),
                         "n": np.repeat(np.array([x[2] for x in out], dtype=np.int32), sizes),
-                        "pos": np.concatenate([np.arange(k, dtype=np.int32) for k in sizes]),
                     }
                 )
 
@@ -214,13 +214,13 @@ def _open_groups(batches):
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, node, component_id`` for rows of (doc_id long, text string).
+    """``row, doc_id, n_shingles, root, component_id`` for every row of ``docs``.
 
-    ``node`` names the set (documents with equal sets share it; null for an empty set), and
-    ``component_id`` is the smallest id reachable over links.
+    ``root`` names the component (null for an empty set, which links with nothing), ``component_id`` is
+    the smallest id in it. ``row`` is the row's place in the scan, so ``docs`` should be a table.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     stages = Stages(spark, "ngram-join")
     profile = stages.write(docs.mapInPandas(_profile, PROFILE), "profile")
     rows = profile.where("token IS NULL")
@@ -241,12 +241,22 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     over = components(ends, stages, "whole").toDF("comp", "root")
     placed = grouped.join(over, "comp", "left").select("node", "doc_id", F.coalesce("root", "comp").alias("root"))
     least = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    final = placed.join(least, "root").select("node", "component_id")
+    final = placed.join(least, "root").select("node", "root", "component_id")
     return rows.join(final, "node", "left").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"), "node", F.coalesce("component_id", "doc_id").alias("component_id")
+        "row", "doc_id", F.col("n").cast("long").alias("n_shingles"), "root", F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, with one of each component: the smallest id, null ids last, and of
+    repeated rows the first. Rows with an empty set all stay."""
+    comps = jaccard_components(docs)
+    best = comps.where("root IS NOT NULL").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "row")).alias("b"))
+    kept = best.select(F.col("b.row").alias("_row")).unionByName(comps.where("root IS NULL").select(F.col("row").alias("_row")))
+    kept = Stages(docs.sparkSession, "one-of-each").write(kept, "kept")
+    return docs.withColumn("_row", F.monotonically_increasing_id()).join(kept, "_row", "left_semi").drop("_row")
+
+
 def _star_links(docs: DataFrame, nodes: DataFrame, stages: Stages) -> DataFrame:
     banded = nodes.select("node", "n", F.explode("bands").alias("band"))
     centres = (
@@ -263,13 +273,12 @@ def _star_links(docs: DataFrame, nodes: DataFrame, stages: Stages) -> DataFrame:
     members = pairs.join(parts, "centre").select("centre", F.pmod(F.hash("node"), "parts").alias("part"), "node", F.lit(False).alias("query"))
     middles = members.select("centre", "part").distinct().select("centre", "part", F.col("centre").alias("node"), F.lit(True).alias("query"))
     units = stages.write(members.unionByName(middles), "star-units")
-    return _compared(docs, nodes, units, ["centre", "part"], _check_stars, stages, "star-sets")
+    return _compared(docs, nodes, units, ["centre", "part"], _check_stars, stages, "star-nodes")
 
 
 def _compared(docs: DataFrame, nodes: DataFrame, units: DataFrame, keys: list[str], check, stages: Stages, name: str) -> DataFrame:
-    wanted = units.select("node").distinct().join(nodes.select("node", "doc_id"), "node")
-    sets = stages.write(_sets(docs, wanted), name)
-    return units.join(sets, "node").repartition(*keys).sortWithinPartitions(*keys).mapInPandas(check, "a long, b long")
+    wanted = stages.write(units.select("node").distinct().join(nodes.select("node", "doc_id"), "node"), name)
+    return units.join(_sets(docs, wanted), "node").repartition(*keys).sortWithinPartitions(*keys).mapInPandas(check, "a long, b long")
 
 
 def _groups(nodes: DataFrame, comps: DataFrame) -> DataFrame:
@@ -293,24 +302,30 @@ def _frequent(spark: SparkSession, profile: DataFrame):
 
 def _candidates(docs: DataFrame, grouped: DataFrame, frequent, stages: Stages) -> DataFrame:
     """``query`` nodes with the groups (comp, chunk) whose matrix row they must look at."""
-    postings = docs.select("text").mapInPandas(_postings(frequent), "token long, node long, n int, pos int")
-    spread = postings.repartition("token")
-    # One pass per token: tokens of a single node end here, which are nearly all.
-    several = spread.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("token")
-    common = spread.join(several, "token").dropDuplicates(["token", "node"])
+    postings = docs.select("text").mapInPandas(_postings(frequent), "token long, node long, n int")
+    # One pass over each token's rows: tokens of a single node end here, which are nearly all.
+    every = Window.partitionBy("token")
+    common = (
+        postings.withColumn("lo", F.min("node").over(every)).withColumn("hi", F.max("node").over(every))
+        .where("lo <> hi").dropDuplicates(["token", "node"]).drop("lo", "hi")
+    )
     placed = stages.write(common.join(grouped.select("node", "comp", "size", "chunk"), "node"), "matrix")
     mixed = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
     placed = placed.join(mixed, "token")
     matrix = placed.groupBy("token", F.col("comp").alias("g_comp"), F.col("chunk").alias("g_chunk")).agg(
-        F.first("size").alias("g_size"), F.min("n").alias("g_min"), F.max("n").alias("g_max"), F.max(F.col("n") - F.col("pos")).alias("g_left")
+        F.first("size").alias("g_size"), F.min("n").alias("g_min"), F.max("n").alias("g_max")
     )
+    # Sets of n and m tokens link only if they share 3/7 (n + m), of which at most 3/4 max(n, m) lie
+    # behind the prefixes; so the prefixes share (12 min - 9 max + 7) / 28 tokens at least. Over the m of
+    # a group that is least at its smallest or its largest.
     return (
         placed.join(matrix, "token")
         .where("struct(size, comp) < struct(g_size, g_comp)")  # the smaller component asks the larger
         .where("4 * g_max >= 3 * n AND 3 * g_min <= 4 * n")
-        .where("7 * least(n - pos, g_left) >= 3 * (n + g_min)")
-        .select(F.col("node").alias("query"), F.col("n").alias("n"), F.col("g_comp").alias("comp"), F.col("g_chunk").alias("chunk"))
-        .distinct()
+        .groupBy(F.col("node").alias("query"), "n", F.col("g_comp").alias("comp"), F.col("g_chunk").alias("chunk"))
+        .agg(F.count(F.lit(1)).alias("k"), F.min("g_min").alias("g_min"), F.max("g_max").alias("g_max"))
+        .where("28 * k >= least(12 * g_min - 9 * n, 12 * n - 9 * g_max) + 7")
+        .select("query", "n", "comp", "chunk")
     )
 
 
@@ -320,7 +335,7 @@ def _cross_links(docs: DataFrame, grouped: DataFrame, crossing: DataFrame, stage
     asking = crossing.join(parts, keys).select(*keys, F.pmod(F.hash("query"), "parts").alias("part"), F.col("query").alias("node"), F.lit(True).alias("query"))
     asked = asking.select(*keys, "part").distinct().join(grouped.select(*keys, "node"), keys).select(*keys, "part", "node", F.lit(False).alias("query"))
     units = stages.write(asking.unionByName(asked), "units")
-    return _compared(docs, grouped, units, [*keys, "part"], _open_groups, stages, "group-sets")
+    return _compared(docs, grouped, units, [*keys, "part"], _open_groups, stages, "group-nodes")
 
 
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
