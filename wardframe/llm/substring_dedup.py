@@ -12,6 +12,8 @@ prefixes of variable length:
   and marks the later ones itself, so a passage that a third of all documents share costs one row
   per stretch. The rest of the subtrees meet by node, and all but the first suffix of a node are marked.
 
+A document whose words are those of an earlier one loses them all and stays out of the trees.
+
 Each word covered by a marked window goes. Windows are judged on the input. Order is doc_id (null
 first), then start; rows with equal doc_id and start are not earlier than each other, so repeated rows
 get equal results. Null and empty texts have no words and lose none. Extra columns are not read.
@@ -148,15 +150,24 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def repeated_windows(docs: DataFrame, stages: Stages, window: int = WINDOW, gram: int = GRAM) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``base`` (every row: doc_id, th, n_words, sha256), ``held`` (rows that may lose words, with text and
-    ``rid``) and ``marks`` (rid, starts: the windows of that row that occur earlier)."""
+    """``base`` (every row: doc_id, th, n_words, sha256, copy), ``held`` (rows that may lose words, with text
+    and ``rid``) and ``marks`` (rid, starts: the windows of that row that occur earlier).
+
+    ``copy`` rows have the words of an earlier document, all of them: they lose every word, and need no tree.
+    """
     keyed = _keyed(docs)
     base = stages.write(
         keyed.mapInPandas(_find_anchors(window, gram), "doc_id long, th long, n_words long, sha256 string, anchors array<long>, places array<int>")
-        .withColumn("row", F.monotonically_increasing_id()),
+        .withColumn("row", F.monotonically_increasing_id()).withColumn("at", F.coalesce("doc_id", F.lit(NULL_ID))),
         "anchors",
     )
-    suffixes = base.select("row", F.explode(F.arrays_zip("anchors", "places")).alias("a")).select("row", F.col("a.anchors").alias("prefix"), F.col("a.places").alias("place"))
+    long_enough = base.where(F.col("n_words") >= window)
+    first = long_enough.groupBy("sha256").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("k")).where("k > 1")
+    copies = stages.write(long_enough.select("row", "at", "sha256").join(first, "sha256").where("at > first").select("row"), "copies")
+    suffixes = (
+        base.join(copies, "row", "left_anti")
+        .select("row", F.explode(F.arrays_zip("anchors", "places")).alias("a")).select("row", F.col("a.anchors").alias("prefix"), F.col("a.places").alias("place"))
+    )
     again = suffixes.groupBy("prefix").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("prefix")
     recurring = suffixes.join(again, "prefix").groupBy("row").agg(F.collect_list("place").alias("places"))
     wanted = (
@@ -179,14 +190,20 @@ def repeated_windows(docs: DataFrame, stages: Stages, window: int = WINDOW, gram
         .groupBy("rid").agg(F.collect_list(F.when(~F.col("loose"), F.col("start"))).alias("own"), F.flatten(F.collect_list("marked")).alias("marked"))
         .select("rid", F.concat("own", "marked").alias("starts"))
     )
-    return base.select("doc_id", "th", "n_words", "sha256"), held, stages.write(later, "marks")
+    marks = stages.write(later, "marks")
+    flagged = base.join(copies.withColumn("copy", F.lit(True)), "row", "left")
+    return flagged.select("doc_id", "th", "n_words", "sha256", F.coalesce("copy", F.lit(False)).alias("copy")), held, marks
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """Every row with ``kept_text``, its text without the words of repeated windows, and ``n_removed``."""
+    """Every row as ``record`` (its columns but the text) with ``kept_text``, its text without the words of
+    repeated windows, and ``n_removed``."""
     stages = Stages(docs.sparkSession, "substring")
-    _, held, marks = repeated_windows(docs, stages, window, gram)
-    starts = held.select("doc_id", "th", "rid").join(marks, "rid").dropDuplicates(["doc_id", "th"]).select(F.col("doc_id").alias("w"), F.col("th").alias("wth"), "starts")
+    base, held, marks = repeated_windows(docs, stages, window, gram)
+    every = F.expr(f"array_append(sequence(0, n_words - {window}, {window}), n_words - {window})").cast("array<int>")
+    starts = held.select("doc_id", "th", "rid").join(marks, "rid").select("doc_id", "th", "starts")
+    starts = starts.unionByName(base.where("copy").select("doc_id", "th", every.alias("starts"))).dropDuplicates(["doc_id", "th"])
+    starts = starts.select(F.col("doc_id").alias("w"), F.col("th").alias("wth"), "starts")
     record = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("record"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
     joined = record.join(starts, F.col("doc_id").eqNullSafe(F.col("w")) & (F.col("th") == F.col("wth")), "left").select("record", "text", "starts")
     return joined.mapInPandas(_cut(window), f"record {joined.schema['record'].dataType.simpleString()}, kept_text string, n_removed long, sha256 string").drop("sha256")
@@ -202,8 +219,12 @@ def removed_words(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Da
         .dropDuplicates(["doc_id", "th"])
         .select(F.col("doc_id").alias("w"), F.col("th").alias("wth"), "n_removed", F.col("sha256").alias("cut_sha256"))
     )
-    return base.join(cut, F.col("doc_id").eqNullSafe(F.col("w")) & (F.col("th") == F.col("wth")), "left").select(
-        "doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("cut_sha256", "sha256").alias("kept_sha256")
+    joined = base.join(cut, F.col("doc_id").eqNullSafe(F.col("w")) & (F.col("th") == F.col("wth")), "left")
+    return joined.select(
+        "doc_id",
+        "n_words",
+        F.when(F.col("copy"), F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
+        F.when(F.col("copy"), F.lit(_digest([]))).otherwise(F.coalesce("cut_sha256", "sha256")).alias("kept_sha256"),
     )
 
 
