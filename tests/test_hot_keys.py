@@ -1,7 +1,6 @@
 """Hot-key plans give the same rows as the plain window plans, and as brute force."""
 
 import random
-from dataclasses import replace
 from datetime import datetime, timedelta
 
 import pytest
@@ -132,12 +131,67 @@ def test_rolling_range(events, data, hot, rows):
     assert plain == sorted(want, key=repr)
 
 
-def test_rolling_range_of_unlisted_large_keys(events, hot, rows):
-    """With more hot keys than are listed, the rest takes the linear plan without slices."""
+@pytest.fixture(scope="module")
+def unkeyed(events):
+    """Most rows without an admission, so that (patient, NULL) is a hot key."""
+    return events.withColumn("hadm_id", F.expr("CASE WHEN row_id % 4 = 0 THEN hadm_id END")).cache()
+
+
+def test_null_keys_are_cut_like_others(unkeyed, rows):
+    hot = measure_hot_keys(unkeyed, KEYS, "t", max_rows=15, sliding_rows=15)
+    assert hot.cuts.where("hadm_id IS NULL").count() >= 1
+    sizes = with_slices(unkeyed, "t", hot).groupBy(*KEYS, SLICE).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 40
     specs = {"s6": ("sum", "v", "6 HOURS"), "n48": ("count", "v", "48 HOURS")}
-    one = replace(hot, cuts=hot.cuts.where("subject_id = 1"), more=True)
-    plain = rows(tp.rolling_range(events, KEYS, "t", specs))
-    assert plain == rows(tp.rolling_range(events, KEYS, "t", specs, one))
+    jobs = [
+        lambda h: tp.rolling_range(unkeyed, KEYS, "t", specs, h),
+        lambda h: tp.running_max(unkeyed, KEYS, "t", "v", "m", h),
+        lambda h: tp.lag_gap(unkeyed, KEYS, "t", ["row_id"], hot=h),
+        lambda h: tp.rolling_median(unkeyed, KEYS, ["t", "row_id"], "v", hot=h),
+        lambda h: tp.sessionize(unkeyed, KEYS, "t", "f", F.col("v").isNotNull(), F.col("v") > 10, h),
+    ]
+    for job in jobs:
+        assert rows(job(None)) == rows(job(hot))
+    assert tp.rolling_range(unkeyed, KEYS, "t", specs, hot).count() == unkeyed.count()
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_asof_matches_no_null_key(unkeyed, rows, how):
+    hot = measure_hot_keys(unkeyed, KEYS, "t", max_rows=15, sliding_rows=15)
+    left = unkeyed.where("f = 1").select(*KEYS, "t", F.col("row_id").alias("left_id"))
+    right = unkeyed.where("f = 0").select(*KEYS, F.col("t").alias("rt"), "row_id", "v")
+    plain = tp.asof_backward(left, right, KEYS, "t", "rt", ["row_id", "v"], how=how)
+    assert rows(plain) == rows(tp.asof_backward(left, right, KEYS, "t", "rt", ["row_id", "v"], how=how, hot=hot))
+    missing = plain.where("hadm_id IS NULL")
+    assert missing.where("row_id IS NOT NULL").count() == 0
+    assert missing.count() == (left.where("hadm_id IS NULL").count() if how == "left" else 0)
+
+
+def test_every_key_may_be_hot(events, rows):
+    """No number of hot keys or of slices is too many."""
+    hot = measure_hot_keys(events, KEYS, "t", max_rows=1, sliding_rows=1)
+    keys = events.groupBy(*KEYS).count().where("count > 1").count()
+    assert hot.cuts.count() == keys > 10
+    assert hot.cuts.agg(F.max(F.size("_cuts"))).first()[0] > 200
+    specs = {"s6": ("sum", "v", "6 HOURS")}
+    assert rows(tp.rolling_range(events, KEYS, "t", specs)) == rows(tp.rolling_range(events, KEYS, "t", specs, hot))
+
+
+def test_a_folder_that_executors_cannot_share_is_an_error():
+    from types import SimpleNamespace
+
+    from wardframe.session import shared_folder
+
+    def session(master, setting=None, given=None):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: given)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: setting), sparkContext=context)
+
+    for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1024]"):
+        with pytest.raises(RuntimeError):
+            shared_folder(session(master))
+    assert shared_folder(session("yarn", "hdfs:///shared/")).startswith("hdfs:///shared/wardframe-")
+    assert shared_folder(session("yarn", None, "s3a://b/c")).startswith("s3a://b/c/wardframe-")
+    assert shared_folder(session("local[4]"))
 
 
 def test_rolling_range_first_needs_the_time(events):

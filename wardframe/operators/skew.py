@@ -2,24 +2,27 @@
 
 A window over ``(subject_id, hadm_id)`` puts a whole admission into one task. Most admissions
 are small, but one key may hold a large share of the table. ``measure_hot_keys`` looks for such
-keys once per event table (one aggregate over the key columns) and cuts each of them, and only
-them, at quantiles of its own event times. The operators then window over ``(keys, slice)`` and
-carry a one-row summary from slice to slice, so no task holds more than a slice.
+keys once per event table and cuts each of them, and only them, into slices of its own event
+times. The operators then window over ``(keys, slice)`` and carry a one-row summary from slice to
+slice, so no task holds more than a slice.
 
-Slices depend on the key and the time only: rows of one instant stay together, a filtered subset
+Finding the cuts is a job like any other: rows per key, then, for the hot keys, rows per second, a running
+count over the seconds of an hour and one over hours, and a cut wherever that count fills a slice. No
+list of keys or cuts is bounded, and none comes to the driver. A key may be NULL like any other value.
+
+Slices depend on the key and the time only: rows of one second stay together, a filtered subset
 of the table keeps the bound, and every branch of a plan agrees on them because the cut points
-are fixed values once measured.
+are a written table once measured.
 """
 
 from __future__ import annotations
 
 import inspect
-import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce, wraps
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from wardframe.session import shared_folder
 
@@ -27,9 +30,6 @@ SLICE = "_slice"
 
 MAX_ROWS = 2_000_000  # rows of one key that one task handles unsplit
 SLIDING_ROWS = 100_000  # the same for sliding frames, where every row visits its whole frame
-MAX_SLICES = 4_096  # slices of one key
-MAX_CUTS = 100_000  # cut points over all keys: bounds what is broadcast
-MAX_HOT_KEYS = 10_000  # any further key holds under 1/10,000 of the rows, and stays whole
 
 
 @dataclass(frozen=True)
@@ -37,22 +37,18 @@ class HotKeys:
     """Cut points per hot key: ``cuts`` has the key columns, ``_rows`` and a sorted array ``_cuts``.
 
     Keys with more than ``max_rows`` rows are hot for every job, the others listed only for
-    sliding frames. ``more``: there were more hot keys than are listed. The rows at hand can be of
-    listed keys ``alone``, or be the ``rest``, whose keys may be large but have no cuts (see
-    ``keys_apart``).
+    sliding frames. The rows at hand can be of listed keys ``alone`` (see ``keys_apart``).
     """
 
     keys: tuple[str, ...]
     cuts: DataFrame
     largest: int
     max_rows: int
-    more: bool = False
     alone: bool = False
-    rest: bool = False
 
     def for_scans(self) -> HotKeys | None:
         """The keys that are hot for jobs without sliding frames."""
-        if self.alone or self.rest:
+        if self.alone:
             return self
         if self.largest <= self.max_rows:
             return None
@@ -69,6 +65,13 @@ def not_null(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
 
 
+def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on equal keys, where NULL equals NULL; ``keys`` appear once, from the left."""
+    named = right.select(*[F.col(c).alias(f"_on_{c}" if c in keys else c) for c in right.columns])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_on_{k}")) for k in keys])
+    return left.join(named, same, how).drop(*[f"_on_{k}" for k in keys])
+
+
 def measure_hot_keys(
     df: DataFrame,
     keys: Sequence[str],
@@ -78,73 +81,49 @@ def measure_hot_keys(
 ) -> HotKeys | None:
     """Find keys with too many rows for one task, and their cut points; None if there are none.
 
-    Runs at once: one map-side combined count, then, only if a key is hot, one mergeable quantile
-    sketch over the hot rows. At most MAX_HOT_KEYS rows and MAX_CUTS cut points reach the driver.
+    Runs at once and writes the cut points, one row per hot key. Only the size of the largest
+    key comes back.
     """
     keys = list(keys)
-    timed = df.where(not_null([*keys, t])).select(*keys, t)
-    hot = (
-        timed.groupBy(*keys)
+    timed = df.where(F.col(t).isNotNull()).select(*keys, t)
+    hot = pin(timed.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > sliding_rows))
+    largest = hot.agg(F.max("_rows")).first()[0]
+    if largest is None:
+        return None
+    second = F.date_trunc("second", F.col(t)).cast(timed.schema[t].dataType)
+    per_second = (
+        join_on(timed, hot.select(*keys), keys, "left_semi")
+        .groupBy(*keys, second.alias("_at"))
         .agg(F.count("*").alias("_n"))
-        .where(F.col("_n") > sliding_rows)
-        .orderBy(F.desc("_n"), *keys)
-        .limit(MAX_HOT_KEYS + 1)
-        .collect()
+        .withColumn("_hour", F.date_trunc("hour", "_at"))
     )
-    if not hot:
-        return None
-    more, hot = len(hot) > MAX_HOT_KEYS, hot[:MAX_HOT_KEYS]
-    rows_per_slice = max(sliding_rows, math.ceil(sum(r["_n"] for r in hot) / MAX_CUTS))
-    wanted = [min(MAX_SLICES, math.ceil(r["_n"] / rows_per_slice)) for r in hot]
-    grid = 2 ** math.ceil(math.log2(max(2, *wanted)))
-    fractions = ", ".join(f"{i / grid!r}D" for i in range(1, grid))
-
-    spark = df.sparkSession
-    key_fields = [timed.schema[k] for k in keys]
-    counts = spark.createDataFrame(
-        [(*(r[k] for k in keys), r["_n"], n) for r, n in zip(hot, wanted)],
-        T.StructType(
-            [*key_fields, T.StructField("_rows", T.LongType()), T.StructField("_k", T.IntegerType())]
-        ),
+    # Rows before each second: those of earlier hours, and those of the hour so far.
+    hours = W.partitionBy(*keys).orderBy("_hour").rowsBetween(W.unboundedPreceding, -1)
+    earlier = (
+        per_second.groupBy(*keys, "_hour")
+        .agg(F.sum("_n").alias("_n"))
+        .select(*keys, "_hour", F.coalesce(F.sum("_n").over(hours), F.lit(0)).alias("_before"))
     )
-    sketched = (
-        timed.join(F.broadcast(counts), keys)
+    inside = W.partitionBy(*keys, "_hour").orderBy("_at").rowsBetween(W.unboundedPreceding, -1)
+    placed = join_on(
+        per_second.withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0))),
+        earlier, [*keys, "_hour"], "inner",
+    )
+    number = F.floor((F.col("_before") + F.col("_inside")) / F.lit(sliding_rows))
+    cuts = (
+        placed.groupBy(*keys, number.alias("_number"))
+        .agg(F.min("_at").alias("_from"))
+        .where("_number > 0")
         .groupBy(*keys)
-        .agg(
-            F.max("_rows").alias("_rows"),
-            F.max("_k").alias("_k"),
-            F.expr(f"percentile_approx(`{t}`, array({fractions}), {4 * grid})").alias("_grid"),
-        )
-        # Thin the common grid down to the slices this key needs, before it leaves the executors.
-        .withColumn(
-            "_cuts",
-            F.array_distinct(
-                F.filter(
-                    "_grid",
-                    lambda _, i: F.floor((i + 1) * F.col("_k") / F.lit(grid))
-                    > F.floor(i * F.col("_k") / F.lit(grid)),
-                )
-            ),
-        )
-        .select(*keys, "_rows", "_cuts")
-        .collect()
-    )
-    cuts = spark.createDataFrame(
-        [tuple(r) for r in sketched],
-        T.StructType(
-            [
-                *key_fields,
-                T.StructField("_rows", T.LongType()),
-                T.StructField("_cuts", T.ArrayType(timed.schema[t].dataType)),
-            ]
-        ),
+        .agg(F.array_sort(F.collect_list("_from")).alias("_cuts"))
     )
-    return HotKeys(tuple(keys), cuts, hot[0]["_n"], max_rows, more)
+    cuts = join_on(hot, cuts, keys, "inner")
+    return HotKeys(tuple(keys), pin(cuts), largest, max_rows)
 
 
 def _slice_of(t: Column) -> Column:
     """Number of cuts at or before ``t``, by binary search in the sorted array ``_cuts``."""
-    steps = F.array(*[F.lit(2**p) for p in range(15, -1, -1)])
+    steps = F.array(*[F.lit(2**p) for p in range(29, -1, -1)])
     cuts = F.col("_cuts")
     found = F.aggregate(
         steps,
@@ -155,9 +134,13 @@ def _slice_of(t: Column) -> Column:
 
 
 def with_slices(df: DataFrame, t: str, hot: HotKeys) -> DataFrame:
-    """Add ``_slice``, 0 for keys that are not hot."""
+    """Add ``_slice``, 0 for keys that are not hot.
+
+    Spark broadcasts the cuts if they are under its own size threshold; beyond that it splits the
+    hot side of the join, which has one row per key on the other.
+    """
     return (
-        df.join(F.broadcast(hot.cuts), list(hot.keys), "left")
+        join_on(df, hot.cuts, hot.keys, "left")
         .withColumn(SLICE, _slice_of(F.col(t)))
         .drop("_cuts", "_rows")
     )
@@ -176,11 +159,8 @@ def pin(df: DataFrame) -> DataFrame:
 
 def split_hot(df: DataFrame, hot: HotKeys) -> tuple[DataFrame, DataFrame]:
     """(rows of ordinary keys, rows of hot keys)."""
-    keys = F.broadcast(hot.cuts.select(*hot.keys))
-    return tuple(
-        df.join(keys, list(hot.keys), how).select(*df.columns)
-        for how in ("left_anti", "left_semi")
-    )
+    listed = hot.cuts.select(*hot.keys)
+    return tuple(join_on(df, listed, hot.keys, how) for how in ("left_anti", "left_semi"))
 
 
 def keys_apart(*inputs: str, sliding: bool = False) -> Callable:
@@ -201,11 +181,10 @@ def keys_apart(*inputs: str, sliding: bool = False) -> Callable:
             hot = call.arguments.get("hot")
             if hot is not None and not sliding:
                 hot = call.arguments["hot"] = hot.for_scans()
-            if hot is None or hot.alone or hot.rest:
+            if hot is None or hot.alone:
                 return job(**call.arguments)
             parts = []
-            rest = replace(hot, rest=True) if hot.more else None
-            for which, heat in ((0, rest), (1, replace(hot, alone=True))):
+            for which, heat in ((0, None), (1, replace(hot, alone=True))):
                 rows = {n: split_hot(call.arguments[n], hot)[which] for n in inputs}
                 parts.append(job(**{**call.arguments, **rows, "hot": heat}))
             return parts[0].unionByName(parts[1])
@@ -226,14 +205,15 @@ def join_one_per_key(
     """Join an event series to a table with one row per key.
 
     Spark broadcasts the small side if it is under its own size threshold. Beyond that both sides
-    shuffle by key, so a hot key is spread by its slices and its one row repeated per slice.
+    shuffle by key, so a hot key is spread by its slices and its one row repeated per slice. As in any
+    equi join, a NULL key matches nothing.
     """
     keys = list(keys)
     hot = hot and hot.for_scans()
-    if hot is None or hot.rest:
+    if hot is None:
         return events.join(one_per_key, keys, how)
     spread = (
-        one_per_key.join(F.broadcast(hot.cuts), list(hot.keys), "left")
+        one_per_key.join(hot.cuts, list(hot.keys), "left")
         .withColumn(
             SLICE, F.explode(F.sequence(F.lit(0), F.coalesce(F.size("_cuts"), F.lit(0))))
         )

@@ -14,8 +14,10 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from wardframe.operators.skew import (
     SLICE,
     HotKeys,
+    join_on,
     join_one_per_key,
     keys_apart,
+    not_null,
     pin,
     with_slices,
 )
@@ -62,7 +64,7 @@ def running(
         w = W.partitionBy(*group).orderBy(*[directed(c) for c in order])
         return w if peers else w.rowsBetween(W.unboundedPreceding, W.currentRow)
 
-    if hot is None or hot.rest:
+    if hot is None:
         w = over(keys)
         return df.withColumns({out: _RUNNING[fn][0](F.col(c)).over(w) for out, (fn, c) in aggs.items()})
 
@@ -92,7 +94,7 @@ def running(
     parts = sliced.withColumns(
         {f"_p_{out}": _RUNNING[fn][0](F.col(c)).over(w) for out, (fn, c) in aggs.items()}
     )
-    joined = parts.join(carry, group, "left")
+    joined = join_on(parts, carry, group, "left")
     return joined.select(
         *df.columns,
         *[
@@ -133,10 +135,11 @@ def asof_backward(
 ) -> DataFrame:
     """The latest right row at or before each left row; equal times take the highest ``tie``.
 
-    Both sides are stacked and the last right row is carried forward: one shuffle, linear.
+    Both sides are stacked and the last right row is carried forward: one shuffle, linear. A NULL
+    key matches nothing, as in an equi join.
     """
     keys = list(keys)
-    right_rows = right.where(F.col(rt).isNotNull()).select(
+    right_rows = right.where(not_null([*keys, rt])).select(
         *keys,
         F.col(rt).alias("_t"),
         F.lit(0).alias("_side"),
@@ -267,7 +270,7 @@ def _rolling_tiled(df, keys, t, specs, hot):
             for n in [partials[(fn, c)]]
         ]
     )
-    return df.join(ranges, [*keys, t])
+    return join_on(df, ranges, [*keys, t], "inner")
 
 
 @keys_apart("df")
@@ -295,7 +298,7 @@ def previous_row(
             return F.lag(row).over(w)
         return F.last(row, ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, -1))
 
-    if hot is None or hot.rest:
+    if hot is None:
         found = df.withColumn("_prev", before(keys))
     else:
         group = [*keys, SLICE]
@@ -307,11 +310,8 @@ def previous_row(
             .withColumn("_carry", F.last("_last", ignorenulls=True).over(earlier))
             .drop("_last")
         )
-        found = (
-            sliced.withColumn("_prev", before(group))
-            .join(carry, group, "left")
-            .withColumn("_prev", F.coalesce("_prev", "_carry"))
-        )
+        found = sliced.withColumn("_prev", before(group))
+        found = join_on(found, carry, group, "left").withColumn("_prev", F.coalesce("_prev", "_carry"))
     return found.select(*df.columns, *[F.col(f"_prev.{out}").alias(out) for out in cols])
 
 
@@ -364,7 +364,7 @@ def rolling_median(
         values = F.array_sort(F.filter(items, lambda v: v.isNotNull()))
         return F.get(values, ((F.size(values) - 1) / F.lit(2)).cast("int"))
 
-    if hot is None or hot.rest:
+    if hot is None:
         w = W.partitionBy(*keys).orderBy(*order).rowsBetween(-before, after)
         return df.withColumn(out, lower_median(F.collect_list(value).over(w)))
 
@@ -403,7 +403,8 @@ def rolling_median(
             **{f"_lag{i}": F.lag(item, i).over(w) for i in range(1, before + 1)},
             **{f"_lead{j}": F.lead(item, j).over(w) for j in range(1, after + 1)},
         }
-    ).join(edges, group, "left")
+    )
+    shifted = join_on(shifted, edges, group, "left")
     leads = sum((F.col(f"_lead{j}").isNotNull().cast("int") for j in range(1, after + 1)), F.lit(0))
     around = [
         F.coalesce(F.col(f"_lag{i}"), F.get("_earlier", F.lit(i) - F.col("_rank")))

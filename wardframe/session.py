@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -24,9 +28,22 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A fresh folder under the cluster's checkpoint folder, for tables written between stages."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """A fresh folder under the cluster's checkpoint folder, for tables written between stages.
+
+    The folder is that of ``spark.checkpoint.dir``, or else the one given to ``setCheckpointDir``. Without
+    either, a session on one machine gets a temporary folder that goes when the program ends; on a
+    cluster that folder would not be shared, so there it is an error.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        # Unset only in local tests: a cluster names a folder all executors can reach.
-        root = tempfile.mkdtemp(prefix="wardframe-")
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        root = _own_folder()
     return f"{root.rstrip('/')}/wardframe-{uuid.uuid4().hex}"
+
+
+@cache
+def _own_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="wardframe-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
