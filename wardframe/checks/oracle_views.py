@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+from wardframe.checks.expected_values import PRESSURE_VALUES
+
 FAST = (
     "TIMESTAMP '2024-01-01' + to_microseconds(CAST((epoch_us(charttime) - "
     "epoch_us(TIMESTAMP '2024-01-01')) // 24 AS BIGINT)) AS charttime"
@@ -93,7 +95,7 @@ VIEWS = {
           max(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) AS oxygentherapy,
           max(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS extubated,
           0 AS selfextubated
-        FROM fx_events WHERE event_type <> 'signup' GROUP BY icustay_id, charttime""",
+        FROM fx_events GROUP BY icustay_id, charttime""",
     "fx_vent_chart": """
         SELECT row_id, icustay_id, date_trunc('hour', charttime) AS charttime,
           CASE row_id % 10 WHEN 0 THEN 720 WHEN 1 THEN 223849 WHEN 2 THEN 467 WHEN 3 THEN 226732
@@ -157,11 +159,10 @@ VIEWS = {
           CASE WHEN value > 60 THEN 'TSURG' WHEN value > 30 THEN 'ORTHO' ELSE 'MED' END
             AS curr_service
         FROM fx_events WHERE event_type = 'click'""",
-    "fx_pi": """
+    "fx_pi": f"""
         SELECT row_id, subject_id, hadm_id, charttime,
-          CASE WHEN row_id % 4 = 0 THEN 551 ELSE 224631 END AS itemid,
-          CASE row_id % 10 WHEN 0 THEN 'To Bone' WHEN 1 THEN 'Partial thickness'
-            WHEN 2 THEN 'Full Thickness' WHEN 3 THEN 'Red, Unbroken' ELSE 'Healed' END AS value,
+          CASE row_id % 7 WHEN 0 THEN 551 WHEN 1 THEN 227618 WHEN 2 THEN 999 ELSE 224631 END AS itemid,
+          coalesce([{', '.join("'" + t + "'" for t in PRESSURE_VALUES)}][1 + row_id % 16], 'Healed') AS value,
           CASE WHEN row_id % 50 = 0 THEN 1 END AS error
         FROM fx_events WHERE event_type = 'error'""",
 }

@@ -13,6 +13,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from wardframe.checks.expected_values import PRESSURE_VALUES
 from wardframe.operators.skew import MAX_ROWS, SLIDING_ROWS, HotKeys, measure_hot_keys, pin
 
 KEYS = ["subject_id", "hadm_id"]
@@ -233,7 +234,7 @@ class Roles:
             return F.max(F.expr(f"CASE WHEN {condition} THEN 1 ELSE 0 END")).alias(name)
 
         return (
-            self.events.where("event_type <> 'signup'")
+            self.events
             .groupBy("icustay_id", "charttime")
             .agg(
                 flag("event_type IN ('click', 'error')", "mechvent"),
@@ -409,14 +410,7 @@ class Roles:
             "row_id",
             *KEYS,
             "charttime",
-            F.expr("CASE WHEN row_id % 4 = 0 THEN 551 ELSE 224631 END").alias("itemid"),
-            _case(
-                "row_id % 10",
-                (0, "To Bone"),
-                (1, "Partial thickness"),
-                (2, "Full Thickness"),
-                (3, "Red, Unbroken"),
-                default="Healed",
-            ).alias("value"),
+            F.expr("CASE row_id % 7 WHEN 0 THEN 551 WHEN 1 THEN 227618 WHEN 2 THEN 999 ELSE 224631 END").alias("itemid"),
+            _case("row_id % 16", *enumerate(PRESSURE_VALUES), default="Healed").alias("value"),
             F.expr("CASE WHEN row_id % 50 = 0 THEN 1 END").alias("error"),
         )
