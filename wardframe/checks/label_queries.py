@@ -14,8 +14,11 @@ KEY = "subject_id, hadm_id"
 
 
 def spec(r: Roles, condition: str) -> L.ConditionSpec:
+    """``aki`` goes by the full staging, urine and creatinine, on one set of admissions; ``aki_creatinine``
+    by creatinine alone."""
     stages, stage_col, flag = {
-        "aki": (concepts.aki_stages_creatinine, "aki_risk", kidney.acute_kidney_flag),
+        "aki": (concepts.aki_stages, "aki_risk", kidney.acute_kidney_flag),
+        "aki_creatinine": (concepts.aki_stages_creatinine, "aki_risk", kidney.acute_kidney_flag),
         "anemia": (
             concepts.anemia_severity,
             "anemia_severity",
@@ -27,31 +30,38 @@ def spec(r: Roles, condition: str) -> L.ConditionSpec:
             lambda d: anemia.ccs_flag(d, r.ccs, C.PRESSURE_INJURY_CCS),
         ),
     }[condition]
+    fast = condition == "aki"
+    admissions = r.fast_admissions if fast else r.admissions
     return L.ConditionSpec(
         name=condition,
         stages=stages(r),
         stage_col=stage_col,
-        notes=r.notes,
-        icd_flag=flag(r.diagnoses),
-        admissions=r.admissions,
-        adults=concepts.adults(r),
+        notes=r.fast_notes if fast else r.notes,
+        icd_flag=flag(r.fast_diagnoses if fast else r.diagnoses),
+        admissions=admissions,
+        adults=anemia.adults(admissions, r.patients),
     )
 
 
-STEPS["st_icd_aki"] = f"""
-    SELECT subject_id, hadm_id,
-      bool_or(icd9_code IN ({in_list(C.ACUTE_KIDNEY_ICD9)})) AS label
-    FROM fx_diagnoses ANTI JOIN st_crf USING (subject_id, hadm_id) GROUP BY ALL"""
+for _condition, _table in (("aki", "fx_fast_diagnoses"), ("aki_creatinine", "fx_diagnoses")):
+    STEPS[f"st_icd_{_condition}"] = f"""
+    SELECT subject_id, hadm_id, bool_or(icd9_code IN ('5845', '5846', '5847', '5848', '5849')) AS label
+    FROM {_table} GROUP BY subject_id, hadm_id
+    HAVING NOT bool_or(icd9_code IN ({in_list(C.CHRONIC_KIDNEY_ICD9)}))"""
 for _condition, _groups in (("anemia", C.ANEMIA_CCS), ("pi", C.PRESSURE_INJURY_CCS)):
     STEPS[f"st_icd_{_condition}"] = f"""
     SELECT subject_id, hadm_id, bool_or(ccs_id IN ({in_list(_groups)})) AS label
     FROM fx_diagnoses JOIN fx_ccs USING (icd9_code) GROUP BY subject_id, hadm_id"""
 
-STEPS["st_poa_notes"] = """
-    SELECT DISTINCT subject_id, hadm_id
-    FROM fx_notes JOIN fx_admissions USING (subject_id, hadm_id)
-    WHERE label AND "timestamp" <= admittime + INTERVAL 48 HOUR"""
-STEPS["st_acquired_notes"] = "SELECT * FROM fx_notes ANTI JOIN st_poa_notes USING (subject_id, hadm_id)"
+STEPS["st_fast_adults"] = """
+    SELECT subject_id, hadm_id FROM fx_fast_admissions JOIN fx_patients USING (subject_id)
+    WHERE admittime >= dob + INTERVAL 15 YEAR"""
+for _notes, _stays in (("notes", "admissions"), ("fast_notes", "fast_admissions")):
+    STEPS[f"st_poa_{_notes}"] = f"""
+    SELECT subject_id, hadm_id FROM fx_{_notes} JOIN fx_{_stays} USING (subject_id, hadm_id)
+    WHERE label GROUP BY subject_id, hadm_id
+    HAVING epoch_us(min("timestamp")) - epoch_us(min(admittime)) <= 48 * 3600000000"""
+    STEPS[f"st_acquired_{_notes}"] = f"SELECT * FROM fx_{_notes} ANTI JOIN st_poa_{_notes} USING (subject_id, hadm_id)"
 
 
 def note_sql(source: str) -> str:
@@ -67,11 +77,11 @@ def onset_sql(source: str) -> str:
     WHERE stage >= 1 GROUP BY {KEY}, stage"""
 
 
-def labels_sql(notes: str, stages: str, icd: str) -> str:
+def labels_sql(notes: str, stages: str, icd: str, adults: str) -> str:
     return f"""
     SELECT a.subject_id, a.hadm_id, coalesce(n.label, false) AS note_dx,
       coalesce(t.label, false) AS table_dx, coalesce(i.label, false) AS icd_dx
-    FROM st_adults a
+    FROM {adults} a
       LEFT JOIN ({note_sql(notes)}) n ON a.subject_id = n.subject_id AND a.hadm_id = n.hadm_id
       LEFT JOIN ({table_sql(stages)}) t ON a.subject_id = t.subject_id AND a.hadm_id = t.hadm_id
       LEFT JOIN {icd} i ON a.subject_id = i.subject_id AND a.hadm_id = i.hadm_id
@@ -85,18 +95,20 @@ def distribution_sql(labels: str) -> str:
     FROM {labels} GROUP BY note_dx, table_dx, icd_dx"""
 
 
-for _c in ("aki", "anemia", "pi"):
+for _c in ("aki", "aki_creatinine", "anemia", "pi"):
+    _of = "fast_" if _c == "aki" else ""
+    _notes, _adults = f"{_of}notes", f"st_{_of}adults"
     STEPS[f"st_poa_{_c}"] = f"""
     SELECT DISTINCT subject_id, hadm_id
-    FROM st_running_{_c} JOIN fx_admissions USING (subject_id, hadm_id)
+    FROM st_running_{_c} JOIN fx_{_of}admissions USING (subject_id, hadm_id)
     WHERE stage >= 1 AND charttime <= admittime + INTERVAL 48 HOUR"""
     STEPS[f"st_acquired_{_c}"] = (
         f"SELECT * FROM st_running_{_c} ANTI JOIN st_poa_{_c} USING (subject_id, hadm_id)"
     )
-    STEPS[f"st_labels_{_c}"] = labels_sql("st_acquired_notes", f"st_acquired_{_c}", f"st_icd_{_c}")
-    STEPS[f"st_any_labels_{_c}"] = labels_sql("fx_notes", f"st_running_{_c}", f"st_icd_{_c}")
+    STEPS[f"st_labels_{_c}"] = labels_sql(f"st_acquired_{_notes}", f"st_acquired_{_c}", f"st_icd_{_c}", _adults)
+    STEPS[f"st_any_labels_{_c}"] = labels_sql(f"fx_{_notes}", f"st_running_{_c}", f"st_icd_{_c}", _adults)
     STEPS[f"st_onset_notes_{_c}"] = f"""
-    SELECT {KEY}, min("timestamp") AS "timestamp" FROM st_acquired_notes
+    SELECT {KEY}, min("timestamp") AS "timestamp" FROM st_acquired_{_notes}
     WHERE label AND hadm_id IS NOT NULL GROUP BY {KEY}"""
     STEPS[f"st_onset_table_{_c}"] = f"""
     SELECT {KEY}, min(charttime) AS "timestamp" FROM st_acquired_{_c}
@@ -105,9 +117,9 @@ for _c in ("aki", "anemia", "pi"):
     def _register(key: str, sql: str, job, condition: str = _c) -> None:
         query(f"{key}_{condition}", sql, staged=True)(lambda r: job(spec(r, condition)))
 
-    _register("l1_note_evidence", note_sql("st_acquired_notes"), L.note_evidence)
+    _register("l1_note_evidence", note_sql(f"st_acquired_{_notes}"), L.note_evidence)
     _register(
-        "l1_note_evidence_any_time", note_sql("fx_notes"), partial(L.note_evidence, acquired=False)
+        "l1_note_evidence_any_time", note_sql(f"fx_{_notes}"), partial(L.note_evidence, acquired=False)
     )
     _register("l2_table_evidence", table_sql(f"st_acquired_{_c}"), L.table_evidence)
     _register(
@@ -143,7 +155,7 @@ for _c in ("aki", "anemia", "pi"):
     _register(
         "l10_positive_onsets",
         f"""SELECT {KEY}, min("timestamp") AS "timestamp", 1 AS label
-    FROM st_adults JOIN (SELECT * FROM st_onset_notes_{_c}
+    FROM {_adults} JOIN (SELECT * FROM st_onset_notes_{_c}
       UNION ALL SELECT * FROM st_onset_table_{_c}) USING ({KEY})
     WHERE "timestamp" IS NOT NULL GROUP BY {KEY}""",
         L.positive_onsets,

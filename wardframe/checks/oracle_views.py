@@ -150,6 +150,11 @@ VIEWS = {
             WHEN row_id % 40 = 7 THEN '5856' WHEN row_id % 40 = 8 THEN 'V420'
             ELSE CAST(row_id % 200 AS VARCHAR) END AS icd9_code
         FROM fx_events WHERE event_type = 'signup'""",
+    "fx_fast_notes": f"""
+        SELECT subject_id, hadm_id, charttime AS "timestamp", label FROM (
+          SELECT subject_id, subject_id AS hadm_id, {FAST}, value > 60 AS label
+          FROM fx_events WHERE event_type = 'error')""",
+    "fx_fast_diagnoses": "SELECT * REPLACE (subject_id AS hadm_id) FROM fx_diagnoses",
     "fx_ccs": f"""
         SELECT {CCS_ID} AS ccs_id, 'group ' || CAST({CCS_ID} AS VARCHAR) AS ccs_name,
           CAST(p_partkey AS VARCHAR) AS icd9_code

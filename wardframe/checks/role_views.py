@@ -345,6 +345,19 @@ class Roles:
             .withColumn("admittime", F.expr("TIMESTAMP_NTZ'2024-01-01'"))
         )
 
+    @cached_property
+    def fast_notes(self) -> DataFrame:
+        return self.of_type("error").select(
+            "subject_id",
+            F.col("subject_id").alias("hadm_id"),
+            self._fast().alias("timestamp"),
+            (F.col("value") > 60).alias("label"),
+        )
+
+    @cached_property
+    def fast_diagnoses(self) -> DataFrame:
+        return self.diagnoses.withColumn("hadm_id", F.col("subject_id"))
+
     @cached_property
     def outputs(self) -> DataFrame:
         return self.events.select(

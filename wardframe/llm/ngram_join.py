@@ -3,15 +3,14 @@
 A document's set is its distinct five-word shingles; two documents link when 100 * |x & y| >= 75 *
 |x | y|. Links are found between sets (equal sets are one *node*), in two steps.
 
-1. *Groups.* Nodes that share a sketch band become candidates of the band's smallest node, as stars;
-   exact comparison keeps the true links, and their components, cut into chunks of bounded size, are
-   the groups of similar documents. Nodes without a link are groups of one.
+1. *Groups.* Nodes that share a sketch band become candidates of the band's busiest node, as stars;
+   exact comparison keeps the true links, and their components are what need not be looked at again. The
+   stars' families, linked or not, cut into chunks of bounded size, are the groups of similar documents.
 2. *Matrix.* Every node's prefix (enough of its tokens in one global order that any two linked nodes
    share a prefix token) is laid out by token, and each token keeps the groups it occurs in, with
-   their smallest and largest set. A node queries the groups of *other* components whose sizes fit and
-   that share as many prefix tokens as a link needs. Where they meet, the group's token union bounds the overlap;
-   only groups that reach 75% of the query's own size are opened and compared set by set, until one
-   link shows, since the group hangs together already.
+   their smallest and largest set. A node queries the groups that hold other components, whose sizes
+   fit and that share as many prefix tokens as a link needs. Where they meet, the group's token union
+   bounds the overlap; only groups that reach 75% of the query's own size are opened and compared set by set.
 
 So a crowd of near copies costs stars and chunks, not pairs, and no link between components is
 lost. The global order puts frequent tokens last (a bounded list of counts, broadcast); the list
@@ -34,9 +33,9 @@ from wardframe.llm.components import components
 WORDS = 5
 BANDS, ROWS = 8, 3
 FREQUENT = 200_000  # longest list of frequent tokens: 3.2 MB broadcast
-CHUNK_SHINGLES = 400_000  # tokens per group or unit of comparison: 3.2 MB of hashes
+CHUNK_SHINGLES = 150_000  # tokens per group or unit of comparison: 1.2 MB of hashes
 LOCAL = 1 << 21  # tokens counted at once when looking for frequent ones
-FULL_SPAN = float(2**64)
+LENGTHS = 0.05  # classes of set sizes are 5% wide
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -150,8 +149,9 @@ def _postings(frequent):
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``node, tokens`` of wanted nodes (node, doc_id), read from one document of each."""
     at = wanted.select(F.col("doc_id").alias("w"), F.col("node"))
-    # Null ids meet null ids; the set computed from the text decides whether it is the one wanted.
-    texts = docs.join(at, F.col("doc_id").eqNullSafe(F.col("w"))).select("text", "node")
+    # Null ids meet null ids; the set computed from the text decides whether it is the one wanted. A merge
+    # join at every size: the wanted nodes grow with the corpus.
+    texts = docs.join(at.hint("merge"), F.col("doc_id").eqNullSafe(F.col("w"))).select("text", "node")
 
     def run(batches):
         for part in per_row(batches, lambda p: p):
@@ -172,7 +172,7 @@ def _by_unit(batches, keys: list[str]):
                 yield last, rows
                 rows = []
             last = unit
-            rows.append((row.node, row.query, np.frombuffer(row.tokens, dtype=np.uint64)))
+            rows.append((row.node, row.query, np.frombuffer(row.tokens, dtype=np.uint64), getattr(row, "comp", None)))
     if rows:
         yield last, rows
 
@@ -180,32 +180,37 @@ def _by_unit(batches, keys: list[str]):
 def _check_stars(batches):
     """Members of a unit against its one query, the star's centre."""
     for (centre, _), rows in _by_unit(batches, ["centre", "part"]):
-        middle = next((t for _, q, t in rows if q), None)
+        middle = next((r[2] for r in rows if r[1]), None)
         if middle is None:
             continue
-        found = [n for n, q, t in rows if not q and linked(middle, t)]
+        found = [r[0] for r in rows if not r[1] and linked(middle, r[2])]
         if found:
             yield pd.DataFrame({"a": centre, "b": found}).astype("int64")
 
 
 def _open_groups(batches):
     """Queries of a unit against its group: the union bounds the overlap, then sets decide."""
-    for _, rows in _by_unit(batches, ["comp", "chunk", "part"]):
-        group = sorted(((n, t) for n, q, t in rows if not q), key=lambda x: len(x[1]))
-        queries = [(n, t) for n, q, t in rows if q]
+    for _, rows in _by_unit(batches, ["family", "chunk", "part"]):
+        group = [r for r in rows if not r[1]]
+        queries = [r for r in rows if r[1]]
         if not group or not queries:
             continue
-        union = np.unique(np.concatenate([t for _, t in group]))
-        sizes = np.array([len(t) for _, t in group])
+        flat = np.concatenate([r[2] for r in group])
+        sizes = np.array([len(r[2]) for r in group])
+        owner = np.repeat(np.arange(len(group)), sizes)
+        nodes, comps = (np.array([r[k] for r in group]) for k in (0, 3))
+        union = np.unique(flat)
         found = []
-        for node, tokens in queries:
+        for node, _, tokens, comp in queries:
             n = len(tokens)
             if shared(tokens, union) < needed(n):
                 continue
-            low, high = np.searchsorted(sizes, needed(n)), np.searchsorted(sizes, 4 * n // 3, side="right")
-            hit = next((m for m, t in group[low:high] if linked(tokens, t)), None)
-            if hit is not None:
-                found.append((node, hit))
+            at = np.searchsorted(tokens, flat)
+            at[at == n] = 0
+            both = np.bincount(owner[tokens[at] == flat], minlength=len(group))
+            hit = np.flatnonzero((100 * both >= 75 * (n + sizes - both)) & (comps != comp))
+            _, first = np.unique(comps[hit], return_index=True)  # one link joins a whole component
+            found += [(node, m) for m in nodes[hit[first]].tolist()]
         if found:
             yield pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
@@ -228,8 +233,9 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.min("bands").alias("bands")),
         "nodes",
     )
-    stars = stages.write(_star_links(docs, nodes, stages), "stars")
-    grouped = stages.write(_groups(nodes, components(stars, stages, "groups")), "grouped")
+    stars, families = _star_links(docs, nodes, stages)
+    stars = stages.write(stars, "stars")
+    grouped = stages.write(_groups(nodes, components(stars, stages, "groups"), families), "grouped")
 
     frequent = _frequent(spark, profile)
     crossing = stages.write(_candidates(docs, grouped, frequent, stages), "candidates")
@@ -257,23 +263,28 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     return docs.withColumn("_row", F.monotonically_increasing_id()).join(kept, "_row", "left_semi").drop("_row")
 
 
-def _star_links(docs: DataFrame, nodes: DataFrame, stages: Stages) -> DataFrame:
+def _star_links(docs: DataFrame, nodes: DataFrame, stages: Stages) -> tuple[DataFrame, DataFrame]:
+    """Links of members to centres, and the family (busiest centre) of every member."""
     banded = nodes.select("node", "n", F.explode("bands").alias("band"))
-    centres = (
-        banded.groupBy("band").agg(F.min(F.struct("node", "n")).alias("c"), F.count(F.lit(1)).alias("k"))
-        .where("k > 1").select("band", F.col("c.node").alias("centre"), F.col("c.n").alias("cn"))
-    )
+    shared_bands = banded.groupBy("band").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    banded = stages.write(banded.join(shared_bands, "band"), "banded")
+    # The centre of a band is the node that meets most others over all its bands: copies that differ
+    # from each other in two places differ from what they were copied from in one.
+    degree = banded.groupBy("node").agg(F.sum("k").alias("degree"))
+    ranked = banded.join(degree, "node")
+    centres = ranked.groupBy("band").agg(F.max(F.struct("degree", "node", "n")).alias("c")).select("band", F.col("c.node").alias("centre"), F.col("c.n").alias("cn"), F.col("c.degree").alias("degree"))
     pairs = (
         banded.join(centres, "band")
         .where("node <> centre AND 4 * least(n, cn) >= 3 * greatest(n, cn)")
-        .select("centre", "cn", "node", "n").distinct()
+        .select("centre", "degree", "node", "n").distinct()
     )
     pairs = stages.write(pairs, "pairs")
     parts = pairs.groupBy("centre").agg(F.ceil(F.sum("n") / CHUNK_SHINGLES).cast("int").alias("parts"))
     members = pairs.join(parts, "centre").select("centre", F.pmod(F.hash("node"), "parts").alias("part"), "node", F.lit(False).alias("query"))
     middles = members.select("centre", "part").distinct().select("centre", "part", F.col("centre").alias("node"), F.lit(True).alias("query"))
     units = stages.write(members.unionByName(middles), "star-units")
-    return _compared(docs, nodes, units, ["centre", "part"], _check_stars, stages, "star-nodes")
+    families = pairs.groupBy("node").agg(F.max_by("centre", F.struct("degree", "centre")).alias("family"))
+    return _compared(docs, nodes, units, ["centre", "part"], _check_stars, stages, "star-nodes"), families
 
 
 def _compared(docs: DataFrame, nodes: DataFrame, units: DataFrame, keys: list[str], check, stages: Stages, name: str) -> DataFrame:
@@ -281,11 +292,13 @@ def _compared(docs: DataFrame, nodes: DataFrame, units: DataFrame, keys: list[st
     return units.join(_sets(docs, wanted), "node").repartition(*keys).sortWithinPartitions(*keys).mapInPandas(check, "a long, b long")
 
 
-def _groups(nodes: DataFrame, comps: DataFrame) -> DataFrame:
-    """Every node with its component, the component's size and its chunk of it."""
-    placed = nodes.select("node", "doc_id", "n").join(comps, "node", "left").select("node", "doc_id", "n", F.coalesce("root", "node").alias("comp"))
-    sizes = placed.groupBy("comp").agg(F.count(F.lit(1)).alias("size"), F.ceil(F.sum("n") / CHUNK_SHINGLES).cast("int").alias("chunks"))
-    return placed.join(sizes, "comp").select("node", "doc_id", "n", "comp", "size", F.pmod(F.hash("node"), "chunks").alias("chunk"))
+def _groups(nodes: DataFrame, comps: DataFrame, families: DataFrame) -> DataFrame:
+    """Every node with its component and its size, its family and its chunk of the family."""
+    placed = nodes.select("node", "doc_id", "n").join(comps, "node", "left").join(families, "node", "left")
+    placed = placed.select("node", "doc_id", "n", F.coalesce("root", "node").alias("comp"), F.coalesce("family", "node").alias("family"))
+    sizes = placed.groupBy("comp").agg(F.count(F.lit(1)).alias("size"))
+    chunks = placed.groupBy("family").agg(F.ceil(F.sum("n") / CHUNK_SHINGLES).cast("int").alias("chunks"))
+    return placed.join(sizes, "comp").join(chunks, "family").select("node", "doc_id", "n", "comp", "size", "family", F.pmod(F.hash("node"), "chunks").alias("chunk"))
 
 
 def _frequent(spark: SparkSession, profile: DataFrame):
@@ -309,31 +322,45 @@ def _candidates(docs: DataFrame, grouped: DataFrame, frequent, stages: Stages) -
         postings.withColumn("lo", F.min("node").over(every)).withColumn("hi", F.max("node").over(every))
         .where("lo <> hi").dropDuplicates(["token", "node"]).drop("lo", "hi")
     )
-    placed = stages.write(common.join(grouped.select("node", "comp", "size", "chunk"), "node"), "matrix")
+    placed = stages.write(common.join(grouped.select("node", "comp", "size", "family", "chunk"), "node"), "matrix")
     mixed = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
-    placed = placed.join(mixed, "token")
-    matrix = placed.groupBy("token", F.col("comp").alias("g_comp"), F.col("chunk").alias("g_chunk")).agg(
-        F.first("size").alias("g_size"), F.min("n").alias("g_min"), F.max("n").alias("g_max")
-    )
+    placed = stages.write(placed.join(mixed, "token").withColumn("length", F.floor(F.log(F.col("n").cast("double")) / LENGTHS).cast("int")), "mixed")
+
     # Sets of n and m tokens link only if they share 3/7 (n + m), of which at most 3/4 max(n, m) lie
-    # behind the prefixes; so the prefixes share (12 min - 9 max + 7) / 28 tokens at least. Over the m of
-    # a group that is least at its smallest or its largest.
+    # behind the prefixes; so the prefixes share (12 min - 9 max + 7) / 28 tokens at least. Over a range
+    # of m that is least at one of its ends.
+    enough = "28 * k >= least(12 * low - 9 * n, 12 * n - 9 * high) + 7"
+    fits = "4 * high >= 3 * n AND 3 * low <= 4 * n"
+
+    # First per node and class of lengths, which is linear: are there enough tokens at all that sets of
+    # such lengths in other components have in their prefixes?
+    lengths = placed.groupBy("token", F.col("length").alias("g_length")).agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("n").alias("low"), F.max("n").alias("high")
+    )
+    reach = (
+        placed.join(lengths, "token").where(fits).where("lo <> hi OR lo <> comp")
+        .groupBy("node", "n", "g_length").agg(F.count(F.lit(1)).alias("k"), F.min("low").alias("low"), F.max("high").alias("high"))
+        .where(enough).select("node", "g_length")
+    )
+    asking = stages.write(placed.join(reach, "node"), "asking")
+    matrix = placed.groupBy("token", F.col("length").alias("g_length"), F.col("family").alias("g_family"), F.col("chunk").alias("g_chunk")).agg(
+        F.max(F.struct("size", "comp")).alias("g_top"), F.min("n").alias("low"), F.max("n").alias("high")
+    )
     return (
-        placed.join(matrix, "token")
-        .where("struct(size, comp) < struct(g_size, g_comp)")  # the smaller component asks the larger
-        .where("4 * g_max >= 3 * n AND 3 * g_min <= 4 * n")
-        .groupBy(F.col("node").alias("query"), "n", F.col("g_comp").alias("comp"), F.col("g_chunk").alias("chunk"))
-        .agg(F.count(F.lit(1)).alias("k"), F.min("g_min").alias("g_min"), F.max("g_max").alias("g_max"))
-        .where("28 * k >= least(12 * g_min - 9 * n, 12 * n - 9 * g_max) + 7")
-        .select("query", "n", "comp", "chunk")
+        asking.join(matrix, ["token", "g_length"])
+        .where("struct(size, comp) < g_top")  # the smaller component asks the larger
+        .where(fits)
+        .groupBy(F.col("node").alias("query"), "n", "comp", F.col("g_family").alias("family"), F.col("g_chunk").alias("chunk"), "g_length")
+        .agg(F.count(F.lit(1)).alias("k"), F.min("low").alias("low"), F.max("high").alias("high"))
+        .where(enough).select("query", "n", "comp", "family", "chunk").distinct()
     )
 
 
 def _cross_links(docs: DataFrame, grouped: DataFrame, crossing: DataFrame, stages: Stages) -> DataFrame:
-    keys = ["comp", "chunk"]
+    keys = ["family", "chunk"]
     parts = crossing.groupBy(*keys).agg(F.ceil(F.sum("n") / CHUNK_SHINGLES).cast("int").alias("parts"))
-    asking = crossing.join(parts, keys).select(*keys, F.pmod(F.hash("query"), "parts").alias("part"), F.col("query").alias("node"), F.lit(True).alias("query"))
-    asked = asking.select(*keys, "part").distinct().join(grouped.select(*keys, "node"), keys).select(*keys, "part", "node", F.lit(False).alias("query"))
+    asking = crossing.join(parts, keys).select(*keys, F.pmod(F.hash("query"), "parts").alias("part"), F.col("query").alias("node"), "comp", F.lit(True).alias("query"))
+    asked = asking.select(*keys, "part").distinct().join(grouped.select(*keys, "node", "comp"), keys).select(*keys, "part", "node", "comp", F.lit(False).alias("query"))
     units = stages.write(asking.unionByName(asked), "units")
     return _compared(docs, grouped, units, [*keys, "part"], _open_groups, stages, "group-nodes")
 

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from wardframe.operators.skew import not_null
+
 KEYS = ["subject_id", "hadm_id"]
 
 
@@ -25,9 +27,11 @@ def exclude_present_on_admission(
     """Drop every admission with a positive event up to ``hours`` after admission.
 
     The earliest positive event per admission decides, so the events shrink to one row per key
-    before they meet the admissions, and to the excluded keys before they meet ``df``.
+    before they meet the admissions, and to the excluded keys before they meet ``df``. Rows without a
+    key belong to no admission and drop out.
     """
     keys = list(keys)
+    df = df.where(not_null(keys))
     excluded = (
         positives.groupBy(*keys)
         .agg(F.min(t).alias("_first"))

@@ -7,7 +7,7 @@ restarted job repeats one stage and not the chain.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -17,7 +17,7 @@ from wardframe.operators.skew import measure_hot_keys
 from wardframe.plans import anemia, demographics, kidney, labels as L, pressure, severity
 from wardframe.plans import ventilation
 from wardframe.sources.csv import export_csv, read_note_labels
-from wardframe.sources.tables import materialize
+from wardframe.sources.tables import materialize, stage_name
 
 CODED = sorted(
     {
@@ -49,6 +49,7 @@ class Catalog:
     ccs: str = "ccs_dx"
     stages: str = "stages"
     recreate: bool = False
+    built: set[str] = field(default_factory=set, compare=False)  # by this catalog
 
     def table(self, name: str) -> DataFrame:
         return self.spark.table(f"{self.clinical}.{name}")
@@ -57,8 +58,11 @@ class Catalog:
         return self.spark.table(f"{self.ccs}.ccs_single_level")
 
     def stage(self, name: str, build: Callable[[], DataFrame], **params: object) -> DataFrame:
+        """``recreate`` rebuilds a stage once per catalog: later jobs, and frames made before, read that."""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.stages}")
-        return materialize(self.spark, f"{self.stages}.{name}", build, self.recreate, **params)
+        again = self.recreate and stage_name(name, **params) not in self.built
+        self.built.add(stage_name(name, **params))
+        return materialize(self.spark, f"{self.stages}.{name}", build, again, **params)
 
     def chart(self) -> DataFrame:
         return self.stage("coded_events", lambda: coded_events(self.table("chartevents")))

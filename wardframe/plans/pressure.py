@@ -8,7 +8,7 @@ from wardframe.functions import codes as C
 from wardframe.operators import temporal as tp
 from wardframe.operators.cohort import KEYS
 from wardframe.operators.rules import categorize, without_errors
-from wardframe.operators.skew import HotKeys
+from wardframe.operators.skew import HotKeys, not_null
 
 
 def pressure_injury_stages(chartevents: DataFrame) -> DataFrame:
@@ -19,5 +19,5 @@ def pressure_injury_stages(chartevents: DataFrame) -> DataFrame:
 
 
 def running_pi_stages(stages: DataFrame, hot: HotKeys | None = None) -> DataFrame:
-    series = stages.select(*KEYS, "charttime", "pi_stage")
+    series = stages.where(not_null(KEYS)).select(*KEYS, "charttime", "pi_stage")
     return tp.running_max(series, KEYS, "charttime", "pi_stage", hot=hot)
