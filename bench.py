@@ -17,8 +17,10 @@ HEADLINE = [
     "t2_pivot_agg",
     "t3_asof_backward",
     "t4_rolling_range_agg",
+    "t4_rolling_range_agg_hot_keys",
     "t5_rolling_rows_median",
     "t7_running_max",
+    "t7_running_max_hot_keys",
     "t8_sessionize",
     "t11_pick_row",
     "t13_first_onset_per_level",

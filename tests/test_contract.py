@@ -5,12 +5,13 @@ import re
 import pytest
 
 import __spark_entry__ as contract
+from wardframe.checks.all_queries import ORACLES, QUERIES
 from wardframe.checks.compare import difference, duckdb_connection
 
 SF = "/root/testdata/sf0.001"
 # One query of each kind; `python -m wardframe.checks.compare` runs all of them.
 SAMPLE = [
-    "t3_asof_backward", "t4_rolling_range_agg_hot_keys", "t8_sessionize_hot_keys",
+    "t3_asof_backward", "t3_asof_backward_null_keys_hot_keys", "t4_rolling_range_agg_null_keys_hot_keys", "t4_rolling_range_agg_hot_keys", "t8_sessionize_hot_keys",
     "c3_vent_durations_hot_keys", "c9_oasis_score", "c12_urine_stats", "c17_running_aki_stages",
     "c24_running_anemia_hot_keys", "d1_admission_demographics", "l5_label_distribution_anemia",
     "l7_acquired_stage_onsets_aki", "l10_positive_onsets_pi", "s2_load_catalog",
@@ -23,11 +24,12 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
 def test_every_job_of_the_inventory_is_registered():
-    ids = {re.match(r"([stcld]\d+)_", k).group(1) for k in contract.queries()}
+    ids = {re.match(r"([stcld]\d+)_", k).group(1) for k in QUERIES}
     wanted = [("s", 8), ("t", 17), ("c", 26), ("l", 12), ("d", 2)]
     assert ids == {f"{p}{i}" for p, n in wanted for i in range(1, n + 1)}
 

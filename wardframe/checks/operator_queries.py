@@ -8,6 +8,7 @@ from wardframe.checks import expected_values as V
 from wardframe.checks.registry import in_list, query
 from wardframe.checks.role_views import KEYS
 from wardframe.functions import codes as C
+from wardframe.operators.skew import measure_hot_keys
 from wardframe.operators import rules, temporal as tp
 from wardframe.operators.cohort import exclude_present_on_admission, first_onset
 from wardframe.plans.kidney import WEIGHT_UNITS
@@ -98,6 +99,44 @@ def rolling_range_agg(r):
     return tp.rolling_range(r.events.select(*EVENT), KEYS, "charttime", specs, r.hot())
 
 
+#: Three rows in four without an admission: (patient, NULL) is a key of windows, and matches nothing in joins.
+UNKEYED = "SELECT * REPLACE (CASE WHEN row_id % 4 = 0 THEN hadm_id END AS hadm_id)"
+
+
+def _unkeyed(df):
+    return df.withColumn("hadm_id", F.expr("CASE WHEN row_id % 4 = 0 THEN hadm_id END"))
+
+
+@query(
+    "t3_asof_backward_null_keys",
+    f"""SELECT c.row_id AS creatinine_id, c.subject_id, c.hadm_id, c.charttime, c.creatinine, (
+        SELECT max(h.charttime) FROM ({UNKEYED} FROM fx_hgb) h WHERE h.subject_id = c.subject_id
+          AND h.hadm_id = c.hadm_id AND h.charttime <= c.charttime) AS hgb_time
+    FROM ({UNKEYED} FROM fx_creatinine) c""",
+    split=True,
+)
+def asof_backward_null_keys(r):
+    left = _unkeyed(r.creatinine).withColumnRenamed("row_id", "creatinine_id")
+    right = _unkeyed(r.hgb).withColumn("hgb_time", F.col("charttime")).drop("charttime")
+    hot = measure_hot_keys(_unkeyed(r.events), KEYS, "charttime", r.max_rows, r.max_rows)
+    return tp.asof_backward(left, right, KEYS, "charttime", "hgb_time", ["hgb_time"], how="left", hot=hot)
+
+
+@query(
+    "t4_rolling_range_agg_null_keys",
+    f"""SELECT row_id, subject_id, hadm_id, charttime, value, (
+        SELECT round(sum(e.value), 6) FROM ({UNKEYED} FROM fx_events) e
+        WHERE e.subject_id = u.subject_id AND e.hadm_id IS NOT DISTINCT FROM u.hadm_id
+          AND e.charttime <= u.charttime AND e.charttime >= u.charttime - INTERVAL 6 HOUR) AS sum_6h
+    FROM ({UNKEYED} FROM fx_events) u""",
+    split=True,
+)
+def rolling_range_agg_null_keys(r):
+    events = _unkeyed(r.events.select(*EVENT))
+    hot = measure_hot_keys(events, KEYS, "charttime", r.max_rows, r.max_rows)
+    return tp.rolling_range(events, KEYS, "charttime", {"sum_6h": ("sum", "value", "6 HOURS")}, hot)
+
+
 @query(
     "t5_rolling_rows_median",
     f"""SELECT row_id, subject_id, hadm_id, charttime, value,
