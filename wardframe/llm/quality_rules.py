@@ -98,8 +98,7 @@ def with_counts(docs: DataFrame, text: str = "text", keep: list[str] | None = No
 
 
 def _vector() -> dict[str, Column]:
-    n = F.col("n_words").cast("double")
-    chars, lines = F.col("word_chars").cast("double"), F.col("n_lines").cast("double")
+    n, chars, lines = (F.greatest(F.col(c), F.lit(1)).cast("double") for c in ("n_words", "word_chars", "n_lines"))
     share = lambda a, b: F.log((F.col(a) + 0.5) / (b - F.col(a) + 0.5).cast("double"))
     return {
         "length": F.log(n),
