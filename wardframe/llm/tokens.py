@@ -10,14 +10,16 @@ listed here; a text with any other character, or with the text of a special toke
 from __future__ import annotations
 
 import base64
+import json
 import re
 import struct
+from functools import cached_property
 
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 SPACES = " \\t-\\r"
 PIECES = re.compile(f"'(?:[stmd]|re|ve|ll)| ?[{LETTERS}]+| ?[0-9]+| ?[^{SPACES}{LETTERS}0-9]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
 OTHER = re.compile(f"[^ -~\\t-\\r{LETTERS}¡-©«-±´¶-¸»¿×÷‐-‧]")
-MOST_PIECES = 300_000
+MOST_PIECES = 120_000  # kept per worker: some 30 MB
 
 
 def vocabulary(name: str) -> str:
@@ -31,11 +33,9 @@ class Encoder(dict):
     """Maps a piece to its ids as little-endian 32-bit numbers; ``ids`` does so for a text."""
 
     def __init__(self, tokenizer_file: str, ranks_file: str | None):
-        from tokenizers import Tokenizer
-
-        self.whole = Tokenizer.from_file(tokenizer_file)
-        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        self.piece = None
+        with open(tokenizer_file, encoding="utf-8") as f:
+            self.special = [t["content"] for t in json.load(f).get("added_tokens", [])]
+        self.file, self.piece = tokenizer_file, None
         if ranks_file:
             import public_tokenizers
             import tiktoken
@@ -45,6 +45,13 @@ class Encoder(dict):
             own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
             self.piece = own.encode_ordinary
 
+    @cached_property
+    def whole(self):
+        """The tokenizer itself, loaded by the first text that needs it: it takes some 100 MB."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.file)
+
     def __missing__(self, piece: str) -> bytes:
         ids = self.piece(piece)
         found = struct.pack(f"<{len(ids)}I", *ids)
