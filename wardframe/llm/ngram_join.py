@@ -260,7 +260,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     best = comps.where("root IS NOT NULL").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "row")).alias("b"))
     kept = best.select(F.col("b.row").alias("_row")).unionByName(comps.where("root IS NULL").select(F.col("row").alias("_row")))
     kept = Stages(docs.sparkSession, "one-of-each").write(kept, "kept")
-    return docs.withColumn("_row", F.monotonically_increasing_id()).join(kept, "_row", "left_semi").drop("_row")
+    return docs.withColumn("_row", F.monotonically_increasing_id()).join(kept.hint("merge"), "_row", "left_semi").drop("_row")
 
 
 def _star_links(docs: DataFrame, nodes: DataFrame, stages: Stages) -> tuple[DataFrame, DataFrame]:
