@@ -127,9 +127,11 @@ def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float, seed: int
 
 
 def predict(model, x: np.ndarray) -> np.ndarray:
+    """Scores to six decimals, in double precision: sums vary with the size of a batch in their last digits."""
     middle, spread, weights = model
-    h = np.tanh(np.clip((x - middle) / spread, -8, 8) @ weights[0] + weights[1])
-    return 1 / (1 + np.exp(-np.clip((h @ weights[2] + weights[3]).astype(np.float64), -30, 30)))
+    x = np.clip((x.astype(np.float64) - middle) / spread, -8, 8)
+    z = np.tanh(x @ weights[0].astype(np.float64) + weights[1]) @ weights[2].astype(np.float64) + weights[3]
+    return np.round(1 / (1 + np.exp(-np.clip(z, -30, 30))), 6)
 
 
 def fit(docs: DataFrame, labels: DataFrame, positives: int = 6_000, unlabelled: int = 12_000, seed: int = 7):
