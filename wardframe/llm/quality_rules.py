@@ -35,8 +35,6 @@ SYMBOLS = re.compile(r"[#*$%&|<>]")
 AXES = {"length": 0.25, "word_length": 0.05, "symbols": 0.5, "dup_lines": 0.5, "repeats": 0.5}
 K = len(AXES)
 BINS_PER_OCTAVE = 64
-#: The median of chi-square with 5 degrees of freedom, and of chi-square with 1.
-CHI2_MEDIAN_5, CHI2_MEDIAN_1 = 4.35146, 0.45494
 
 COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long"
 
@@ -139,10 +137,10 @@ def robust_outliers(counted: DataFrame, lang: str, source: str, least: int = 200
         if step > 1:
             stages.drop(f"models{step - 1}")
     best = (
-        models.groupBy("pool").agg(F.min_by(F.struct("m", "inv", "unit"), F.struct("logdet", "start")).alias("b"))
+        models.groupBy("pool").agg(F.min_by(F.struct("m", "inv"), F.struct("logdet", "start")).alias("b"))
         .select("pool", "b.*")
     )
-    far = fit.join(best, "pool").select("at", (_distance() / F.col("unit")).alias("distance"))
+    far = fit.join(best, "pool").select("at", _distance().alias("distance"))
     scored = rows.join(far, "at", "left")
     return scored.drop("at", *[f"x_{a}" for a in AXES]).withColumn(
         "kept", ~F.col("base_failed") & (F.coalesce(F.col("distance"), F.lit(0.0)) <= cutoff)
@@ -183,10 +181,10 @@ def _starts(fit: DataFrame) -> DataFrame:
                 m = [float(getattr(r, f"c{i}")) for i in range(K)]
                 sd = np.array([max(1.4826 * float(getattr(r, f"d{i}")), floors[i]) for i in range(K)])
                 for start, spread in enumerate((sd, np.array(floors))):
-                    out.append((r.pool, start, m, list(np.diag(1 / spread**2).ravel()), 2 * float(np.log(spread).sum()), 1.0))
-            yield pd.DataFrame(out, columns=["pool", "start", "m", "inv", "logdet", "unit"])
+                    out.append((r.pool, start, m, list(np.diag(1 / spread**2).ravel()), 2 * float(np.log(spread).sum())))
+            yield pd.DataFrame(out, columns=["pool", "start", "m", "inv", "logdet"])
 
-    return mad.mapInPandas(build, "pool string, start int, m array<double>, inv array<double>, logdet double, unit double")
+    return mad.mapInPandas(build, "pool string, start int, m array<double>, inv array<double>, logdet double")
 
 
 def _distance() -> Column:
@@ -241,10 +239,10 @@ def _concentrate(fit: DataFrame, models: DataFrame, half: float) -> DataFrame:
                 c = c * (1 / _half_factor(n / float(r.rows)))
                 c[np.diag_indices(K)] = np.maximum(c[np.diag_indices(K)], 0)
                 c = c + np.diag(floors**2)
-                out.append((r.pool, int(r.start), list(m), list(np.linalg.inv(c).ravel()), float(np.linalg.slogdet(c)[1]), 1.0))
-            yield pd.DataFrame(out, columns=["pool", "start", "m", "inv", "logdet", "unit"])
+                out.append((r.pool, int(r.start), list(m), list(np.linalg.inv(c).ravel()), float(np.linalg.slogdet(c)[1])))
+            yield pd.DataFrame(out, columns=["pool", "start", "m", "inv", "logdet"])
 
-    return sums.mapInPandas(solve, "pool string, start int, m array<double>, inv array<double>, logdet double, unit double")
+    return sums.mapInPandas(solve, "pool string, start int, m array<double>, inv array<double>, logdet double")
 
 
 def _half_factor(share: float) -> float:
