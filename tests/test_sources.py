@@ -23,7 +23,7 @@ def put(path, text):
 
 
 def test_read_quoted_lines_and_nulls(spark, folder):
-    df = csv.read_table(spark, put(folder / "a.csv", GOOD), DDL)
+    df = csv.read_table(spark, put(folder / "a.csv", GOOD), DDL, multi_line=True)
     assert df.columns == ["row_id", "text", "at", "x"]
     rows = {r["row_id"]: tuple(r)[1:] for r in df.collect()}
     assert rows[1] == ('two\nlines, "quoted"', datetime(2101, 10, 20, 19, 8), 1.5)
@@ -33,7 +33,7 @@ def test_read_quoted_lines_and_nulls(spark, folder):
 def test_read_gz_and_repartition(spark, folder):
     with gzip.open(folder / "a.csv.gz", "wt") as f:
         f.write(GOOD)
-    df = csv.read_table(spark, str(folder / "a.csv"), DDL, gz=True, partitions=3)
+    df = csv.read_table(spark, str(folder / "a.csv"), DDL, gz=True, partitions=3, multi_line=True)
     assert df.count() == 2 and df.rdd.getNumPartitions() == 3
 
 
@@ -69,7 +69,7 @@ def test_export_round_trip(spark, folder):
     path = str(folder / "out")
     csv.export_csv(df, path, single_file=True)
     assert len(list((folder / "out").glob("*.csv"))) == 1
-    got = csv.read_table(spark, path, DDL.lower())
+    got = csv.read_table(spark, path, DDL.lower(), multi_line=True)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, df.collect()))
 
 
@@ -87,6 +87,9 @@ def test_bucketed_table(spark, folder):
     counted = table.groupBy("subject_id", "hadm_id").count()
     assert "Exchange" not in counted._jdf.queryExecution().executedPlan().toString()
     assert counted.agg(F.sum("count")).first()[0] == 1000
+    many = df.repartition(64)
+    wide = tables.write_bucketed(many, "bucket_test.many", ["subject_id", "hadm_id"], 8, tasks_per_bucket=2)
+    assert len(wide.inputFiles()) <= 8 * 2 and wide.count() == 1000
 
 
 def test_load_catalog_and_audits(spark, folder):
@@ -108,7 +111,7 @@ def test_load_catalog_and_audits(spark, folder):
     assert {r["column"]: r["null_count"] for r in nulls.collect()} == {"row_id": 0, "subject_id": 1}
     with pytest.raises(Exception):
         tables.load_catalog(spark, str(folder), "load_test", mode="error", tables=names)
-    tables.load_catalog(spark, str(folder), "load_test", mode="append", tables=["caregivers"], one_line=["caregivers"])
+    tables.load_catalog(spark, str(folder), "load_test", mode="append", tables=["caregivers"], with_breaks=[])
     assert spark.table("load_test.caregivers").count() == 4
 
 

@@ -36,7 +36,7 @@ def read_clinical_csv(r: Roles):
     documents = r.table("documents").select("doc_id", "text", "lang", "source", "n_chars")
     csv.export_csv(documents, path)
     ddl = "doc_id bigint, text string, lang string, source string, n_chars bigint"
-    return csv.read_table(r.spark, path, ddl, partitions=8)
+    return csv.read_table(r.spark, path, ddl, partitions=8, multi_line=True)
 
 
 LOADED = ("patients", "diagnoses_icd", "services", "labevents", "outputevents")

@@ -14,14 +14,13 @@ def read_table(
     schema: StructType | str,
     gz: bool = False,
     partitions: int | None = None,
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Read a CSV file under a declared schema; a malformed row or another header aborts.
 
-    Columns come out in lower case. Quoted fields may span lines, so a file is one task whether
-    compressed or not: for large tables give a folder of files, or ``partitions`` to spread the
-    rows before they are worked on. Where no field has a line break, ``multi_line=False`` lets
-    Spark read a plain file in splits.
+    Columns come out in lower case. A plain file is read in splits. With ``multi_line``, quoted fields
+    may span lines; then, as for a compressed file, a file is one task, so give a folder of files, or
+    ``partitions`` to spread the rows before they are worked on.
     """
     schema = struct(schema) if isinstance(schema, str) else schema
     # Header names are compared without regard to case, order counts.

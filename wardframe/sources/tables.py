@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wardframe.sources.csv import read_table
 from wardframe.sources.schemas import BUCKET_KEYS, BUCKET_SORT, BUCKETS, CCS, CLINICAL
@@ -19,12 +19,17 @@ def write_bucketed(
     fmt: str = "orc",
     mode: str = "overwrite",
     path: str | None = None,
+    tasks_per_bucket: int = 4,
 ) -> DataFrame:
     """Persist as a table bucketed by all of ``by`` together, sorted within each bucket.
 
-    Rows are written from the tasks that hold them, so a hot key costs no task more than its own
-    share; it only makes one bucket larger to read, in splits.
+    Rows are gathered by bucket first, each bucket in ``tasks_per_bucket`` tasks by the hash of the
+    whole row: so there are at most that many files per bucket, however many tasks read the
+    input, and a hot key is written by several tasks.
     """
+    bucket = F.pmod(F.hash(*by), F.lit(n))  # the hash that bucketing uses
+    part = F.pmod(F.xxhash64(*df.columns), F.lit(tasks_per_bucket))
+    df = df.repartition(n * tasks_per_bucket, bucket, part)
     writer = df.write.format(fmt).mode(mode).bucketBy(n, *by)
     if sort:
         writer = writer.sortBy(*sort)
@@ -46,13 +51,13 @@ def _load(
     partitions: int | None,
     buckets: int,
     file_name: Callable[[str], str],
-    one_line: Iterable[str] = (),
+    with_breaks: Iterable[str] = (),
 ) -> list[str]:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
     loaded = []
     for table in registry if tables is None else tables:
         path = f"{src}/{file_name(table)}.csv"
-        df = read_table(spark, path, registry[table], gz, partitions, table not in one_line)
+        df = read_table(spark, path, registry[table], gz, partitions, table in with_breaks)
         name = f"{db}.{table}"
         if table in BUCKET_SORT:
             write_bucketed(
@@ -75,15 +80,16 @@ def load_catalog(
     gz: bool = False,
     partitions: int | None = None,
     buckets: int = BUCKETS,
-    one_line: Iterable[str] = (),
+    with_breaks: Iterable[str] = ("noteevents",),
 ) -> list[str]:
     """Load the clinical tables (files named like the table, in capitals) into a database.
 
-    ``one_line`` names tables known to have no line break within a field, to be read in splits.
+    Files are read in splits; ``with_breaks`` names the tables whose fields may hold line breaks,
+    which are read file by file.
     """
-    one_line = set(one_line)
+    with_breaks = set(with_breaks)
     return _load(
-        spark, CLINICAL, src, db, mode, fmt, tables, gz, partitions, buckets, str.upper, one_line
+        spark, CLINICAL, src, db, mode, fmt, tables, gz, partitions, buckets, str.upper, with_breaks
     )
 
 
