@@ -138,6 +138,29 @@ PRESSURE_TEXTS = [
     ("To Bone", 4),
 ]
 
+URINE_CODES = [
+    40055, 43175, 40069, 40094, 40715, 40473, 40085, 40057, 40056, 40405, 40428, 40086, 40096, 40651, 226559,
+    226560, 226561, 226584, 226563, 226564, 226565, 226567, 226557, 226558,
+]
+WEIGHT_CODES = [
+    762, 763, 3580, 3693, 224639, 226512, 3581, 226531, 3582,
+]
+CHRONIC_KIDNEY = [
+    "585", "5851", "5852", "5853", "5854", "5855", "5856", "5859", "7925", "V420", "V451", "V4511", "V4512",
+    "V560", "V561", "V562", "V5631", "V5632", "V568",
+]
+PREGNANCY_GROUPS = [
+    180, 181, 182, 183, 184, 185, 186, 187, 188, 190, 191, 192, 193, 194, 195, 196,
+]
+#: Hemoglobin under which anemia is severe, moderate and mild.
+ANEMIA_BELOW = {
+    "to_4_years": (7, 9.9, 10.9),
+    "to_11_years": (8, 10.9, 11.4),
+    "to_14_years_or_women": (8, 10.9, 11.9),
+    "pregnant": (7, 9.9, 10.9),
+    "men": (8, 10.9, 12.9),
+}
+
 ETHNICITIES = [
     ("ASIAN%", "ASIAN"),
     ("BLACK%", "BLACK"),

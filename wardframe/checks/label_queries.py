@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import partial
 
-from wardframe.checks import concept_queries as concepts
+from wardframe.checks import concept_queries as concepts, expected_values as V
 from wardframe.checks.registry import STEPS, in_list, query
 from wardframe.checks.role_views import Roles
 from wardframe.functions import codes as C
@@ -47,8 +47,8 @@ for _condition, _table in (("aki", "fx_fast_diagnoses"), ("aki_creatinine", "fx_
     STEPS[f"st_icd_{_condition}"] = f"""
     SELECT subject_id, hadm_id, bool_or(icd9_code IN ('5845', '5846', '5847', '5848', '5849')) AS label
     FROM {_table} GROUP BY subject_id, hadm_id
-    HAVING NOT bool_or(icd9_code IN ({in_list(C.CHRONIC_KIDNEY_ICD9)}))"""
-for _condition, _groups in (("anemia", C.ANEMIA_CCS), ("pi", C.PRESSURE_INJURY_CCS)):
+    HAVING NOT bool_or(icd9_code IN ({in_list(V.CHRONIC_KIDNEY)}))"""
+for _condition, _groups in (("anemia", [59, 60]), ("pi", [199])):
     STEPS[f"st_icd_{_condition}"] = f"""
     SELECT subject_id, hadm_id, bool_or(ccs_id IN ({in_list(_groups)})) AS label
     FROM fx_diagnoses JOIN fx_ccs USING (icd9_code) GROUP BY subject_id, hadm_id"""
