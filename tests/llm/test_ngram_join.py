@@ -52,7 +52,7 @@ def test_components_match_all_pairs(documents, seed):
     rows = corpus(seed) + [(900, None), (901, ""), (902, " \t\n"), (903, "one two"), (904, "ONE  two"), (None, "one two"), (None, None)]
     rng = random.Random(seed)
     rng.shuffle(rows)
-    got = jaccard_components(documents(rows, {"node": F.lit("x"), "row": F.lit(3)})).select("doc_id", "n_shingles", "component_id").collect()
+    got = jaccard_components(documents(rows, {"node": F.lit("x"), "key": F.lit(3)})).select("doc_id", "n_shingles", "component_id").collect()
     assert sorted(map(tuple, got), key=repr) == sorted(brute(rows), key=repr)
 
 
@@ -77,8 +77,8 @@ def test_empty_table(documents):
 
 def test_one_of_each_keeps_columns_and_rows_without_words(documents, stored, spark):
     text = " ".join(f"a{k}" for k in range(30))
-    rows = [(4, text), (2, text), (2, text), (None, text), (7, None), (8, ""), (None, "lonely words here"), (9, text + " more")]
-    docs = spark.read.parquet(stored(documents=documents(rows, {"_x": F.lit(1)})) + "/documents.parquet")
+    rows = [(4, text), (2, text), (2, text), (None, text), (7, None), (7, None), (8, ""), (None, "lonely words here"), (None, None), (9, text + " more")]
+    docs = spark.read.parquet(stored(documents=documents(rows, {"_key": F.lit(1)})) + "/documents.parquet")
     out = one_of_each(docs)
     assert out.columns == docs.columns
-    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=repr) == sorted([(2, text), (7, None), (8, ""), (None, "lonely words here")], key=repr)
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=repr) == sorted([(2, text), (7, None), (8, ""), (None, "lonely words here"), (None, None)], key=repr)

@@ -25,7 +25,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from wardframe.llm.common import Stages, lower_words_of, per_row, run_hashes, signed, table, word_hashes
 from wardframe.llm.components import components
@@ -78,7 +78,7 @@ def shared(x: np.ndarray, y: np.ndarray) -> int:
 
 # ---------------------------------------------------------------- passes over the texts
 
-PROFILE = "row long, doc_id long, n int, node long, bands array<long>, token long, times long"
+PROFILE = "key long, key2 long, doc_id long, n int, node long, bands array<long>, token long, times long"
 
 
 def _profile(batches):
@@ -88,15 +88,16 @@ def _profile(batches):
     def frequent():
         values, times = np.unique(np.concatenate(held), return_counts=True)
         often = times >= 4
-        return pd.DataFrame({"row": None, "doc_id": None, "n": None, "node": None, "bands": None, "token": signed(values[often]), "times": times[often]}).astype(
-            {"row": "Int64", "doc_id": "Int64", "n": "Int32", "node": "Int64", "token": "Int64", "times": "Int64"}
+        return pd.DataFrame({"key": None, "key2": None, "doc_id": None, "n": None, "node": None, "bands": None, "token": signed(values[often]), "times": times[often]}).astype(
+            {"key": "Int64", "key2": "Int64", "doc_id": "Int64", "n": "Int32", "node": "Int64", "token": "Int64", "times": "Int64"}
         )
 
     for part in per_row(batches, lambda p: p):
         sets = [shingles(t) for t in part["text"]]
         yield pd.DataFrame(
             {
-                "row": part["row"].astype("Int64").array,
+                "key": part["key"].astype("Int64").array,
+                "key2": part["key2"].astype("Int64").array,
                 "doc_id": part["doc_id"].astype("Int64").array,
                 "n": pd.array([len(s) for s in sets], dtype="Int32"),
                 "node": pd.array([node_of(s) if len(s) else None for s in sets], dtype="Int64"),
@@ -219,13 +220,13 @@ def _open_groups(batches):
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
-    """``row, doc_id, n_shingles, root, component_id`` for every row of ``docs``.
+    """``key, key2, doc_id, n_shingles, root, component_id`` for every row of ``docs``.
 
     ``root`` names the component (null for an empty set, which links with nothing), ``component_id`` is
-    the smallest id in it. ``row`` is the row's place in the scan, so ``docs`` should be a table.
+    the smallest id in it. The keys (see ``_keys``) are the same for rows with equal id and text.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select(*_keys("doc_id"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     stages = Stages(spark, "ngram-join")
     profile = stages.write(docs.mapInPandas(_profile, PROFILE), "profile")
     rows = profile.where("token IS NULL")
@@ -249,18 +250,25 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     least = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     final = placed.join(least, "root").select("node", "root", "component_id")
     return rows.join(final, "node", "left").select(
-        "row", "doc_id", F.col("n").cast("long").alias("n_shingles"), "root", F.coalesce("component_id", "doc_id").alias("component_id")
+        "key", "key2", "doc_id", F.col("n").cast("long").alias("n_shingles"), "root", F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
 
+def _keys(doc_id: str) -> list[Column]:
+    """Two hashes of id and text, NULL told from every value: what a row is known by in another scan."""
+    known = [F.col(doc_id).cast("long"), F.col(doc_id).isNull(), F.col("text"), F.col("text").isNull()]
+    return [F.xxhash64(F.lit(1), *known).alias("key"), F.xxhash64(F.lit(2), *known).alias("key2")]
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, with one of each component: the smallest id, null ids last, and of
-    repeated rows the first. Rows with an empty set all stay."""
+    """The rows of ``docs``, all columns, with one of each component: that of the smallest id, null ids
+    last. Rows with an empty set all stay. Rows with equal id and text are one row."""
     comps = jaccard_components(docs)
-    best = comps.where("root IS NOT NULL").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "row")).alias("b"))
-    kept = best.select(F.col("b.row").alias("_row")).unionByName(comps.where("root IS NULL").select(F.col("row").alias("_row")))
-    kept = Stages(docs.sparkSession, "one-of-each").write(kept, "kept")
-    return docs.withColumn("_row", F.monotonically_increasing_id()).join(kept.hint("merge"), "_row", "left_semi").drop("_row")
+    best = comps.where("root IS NOT NULL").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "key", "key2")).alias("b"))
+    kept = best.select("b.key", "b.key2").unionByName(comps.where("root IS NULL").select("key", "key2").distinct())
+    kept = Stages(docs.sparkSession, "one-of-each").write(kept.toDF("_key", "_key2"), "kept")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("record"), *[k.alias(f"_{n}") for k, n in zip(_keys("doc_id"), ("key", "key2"))])
+    return rows.join(kept.hint("merge"), ["_key", "_key2"], "left_semi").dropDuplicates(["_key", "_key2"]).select("record.*")
 
 
 def _star_links(docs: DataFrame, nodes: DataFrame, stages: Stages) -> tuple[DataFrame, DataFrame]:
