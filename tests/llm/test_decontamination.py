@@ -60,6 +60,21 @@ def test_no_region_within_the_budget_is_missed():
     assert not any(index.matches(prose(rng, 3000)) for _ in range(20))
 
 
+def test_any_half_of_an_item_is_found():
+    rng = random.Random(5)
+    items = [(n, fold(prose(rng, n))) for n in (*range(60, 420, 4), 81, 159, 161, 200, 239, 1001)]
+    index = Index(items)
+    for k, text in items:
+        half = (len(text) + 1) // 2
+        for at in {0, len(text) - half, *(rng.randrange(len(text) - half + 1) for _ in range(6))}:
+            for stretch in (text[at : at + half], edited(rng, text[at : at + half], 1)):
+                found = [m[0] for m in index.matches(prose(rng, 150) + "q" + stretch + "q" + prose(rng, 150))]
+                assert k in found, (k, at)
+    # Of a short item, every stretch that is long enough to be evidence.
+    short = Index([(1, "".join(rng.sample("abcdefghijklmnopqrstuvwxyz0123456789äéüöçñ", 40)))])
+    assert all(short.matches("#" * 50 + short.segments[0][at : at + 30] + "#" * 50) for at in range(11))
+
+
 def test_blocks_give_the_same_result_and_columns_stay(documents, spark):
     rng = random.Random(3)
     items = [(k, prose(rng, 150)) for k in range(12)]

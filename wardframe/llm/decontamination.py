@@ -1,8 +1,9 @@
 """Benchmark decontamination: q-gram filtering on diagonal bands, then banded alignment.
 
 Benchmark items and texts are folded (lower case, white space as single spaces). An item is cut into
-segments of 80 to 159 characters, so that half a passage is found too. A segment of m characters may
-differ by e = floor(rate * m) edits. Any text region within that budget shares at least
+segments of two kinds: adjoining ones of 80 to 159 characters, and overlapping ones of at most 60, so close
+that every stretch of half the item (and of ``least`` characters) holds a whole one. A segment of m characters
+may differ by e = floor(rate * m) edits. Any text region within that budget shares at least
 m - q + 1 - q * e of the segment's q-grams (the q-gram lemma), all of them on diagonals at most e apart.
 
 So each text is scanned once for q-grams of the benchmark; every hit falls on the diagonal (its place in
@@ -10,7 +11,7 @@ the text less its place in the segment), and hits are counted per segment and pe
 diagonals, bands overlapping by half. Bands that reach the bound are verified: an edit-distance
 alignment of the segment against the band's stretch of text, free at both ends, kept if at most e.
 
-The benchmark is read in blocks of at most about ``block_chars`` characters, each broadcast and applied
+The benchmark is read in blocks of at most about ``block_chars`` characters of segments, each broadcast and applied
 to all texts, so the memory of a pass is bounded however large the benchmark is. Texts are not moved.
 
 Items of fewer than ``least`` folded characters are no evidence and are left out. Null and empty texts
@@ -21,11 +22,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wardframe.llm.common import mix, per_row, table
 
-Q, RATE, SEGMENT, LEAST = 9, 0.08, 80, 30
+Q, RATE, SEGMENT, SHORT, LEAST = 9, 0.08, 80, 60, 30
 FILTER_BITS = 22
 
 
@@ -57,9 +58,26 @@ def qgrams(points: np.ndarray, q: int = Q) -> np.ndarray:
     return mix(out)
 
 
-def segments_of(text: str, length: int = SEGMENT) -> list[str]:
-    k = max(1, len(text) // length)
-    return [text[len(text) * i // k : len(text) * (i + 1) // k] for i in range(k)]
+def overlapping(n: int, least: int = LEAST) -> tuple[int, int]:
+    """Length and stride of an item's overlapping segments: a stretch of length + stride - 1 holds a whole one."""
+    half = (n + 1) // 2
+    length = min(max(half * 3 // 4, least), SHORT, n)
+    return length, max(1, min(half - length + 1, length // 3))
+
+
+def segments_of(text: str, length: int = SEGMENT, least: int = LEAST) -> list[str]:
+    n, k = len(text), max(1, len(text) // length)
+    short, stride = overlapping(n, least)
+    cuts = [(n * i // k, n * (i + 1) // k) for i in range(k)] + [(at, at + short) for at in range(0, n - short + 1, stride)]
+    return [text[a:b] for a, b in dict.fromkeys(cuts)]
+
+
+def segment_chars(n: Column, least: int = LEAST) -> Column:
+    """About the characters that the segments of an item of n characters have in all."""
+    half = F.floor((n + 1) / 2)
+    length = F.least(F.greatest(F.floor(half * 3 / 4), F.lit(least)), F.lit(SHORT), n)
+    stride = F.greatest(F.lit(1), F.least(half - length + 1, F.floor(length / 3)))
+    return n + length * (F.floor((n - length) / stride) + 1)
 
 
 class Index:
@@ -70,7 +88,7 @@ class Index:
         self.segments, self.items, hashes, owner, place = [], [], [], [], []
         for item, text in items:
             folded = fold(text)
-            for segment in segments_of(folded) if len(folded) >= least else []:
+            for segment in segments_of(folded, least=least) if len(folded) >= least else []:
                 grams = qgrams(code_points(segment), q)
                 hashes.append(grams)
                 owner.append(np.full(len(grams), len(self.segments), dtype=np.int64))
@@ -89,7 +107,7 @@ class Index:
         self.filter[(self.hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
 
     def matches(self, text: str | None) -> list[tuple[int, int, int]]:
-        """(item, edits, place in the folded text) for each item that the text holds, the best of each."""
+        """(item, edits, place in the folded text) for each item that the text holds, by its best segment."""
         if not self.segments or not text:
             return []
         folded = fold(text)
@@ -149,7 +167,7 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, keep: list[str], ra
     """The ``keep`` columns as ``record`` with ``matches``, an array of (item_id, edits, ends_at), maybe empty."""
     spark = docs.sparkSession
     items = benchmark.where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).groupBy("item_id", "text").agg(F.count(F.lit(1)).alias("n"))
-    total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first().n
+    total = items.agg(F.coalesce(F.sum(segment_chars(F.length("text"), least)), F.lit(0)).alias("n")).first().n
     blocks = max(1, -(-total // block_chars))
     slim = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("record"), "text", F.array().cast("array<struct<item_id:bigint,edits:int,ends_at:bigint>>").alias("matches"))
     schema = slim.schema
