@@ -36,6 +36,24 @@ def test_learns_both_sides_and_scores_edges(documents, spark):
     assert lm_scoring.scored(empty, lm_scoring.fit(empty), ["doc_id"]).collect() == []
 
 
+def test_words_at_every_place_are_learned(documents, spark):
+    """With the registered parameters, where every eighth word from a place given by the text is a filler."""
+    rng = random.Random(3)
+    first = int(lm_scoring.buckets_of("filler")[0]) % 8
+    rows = []
+    for k in range(600):
+        letters = [a for a in rng.choices("abcdefgh", k=8) for _ in range(8)]
+        rows.append((k, " ".join("filler" if i % 8 == first or not i else a for i, a in enumerate(letters))))
+    docs = documents(rows)
+    # A letter costs log 8 = 2.08 to one that knows only how often it occurs, and a text 1.8 a word.
+    assert lm_scoring.scored(docs, lm_scoring.fit(docs), ["doc_id"]).agg(F.avg("mean")).first()[0] > -1.3
+
+
+def test_one_word_in_all(documents, spark):
+    docs = documents([(1, "word"), (2, None)])
+    assert [r.n_words for r in lm_scoring.scored(docs, lm_scoring.fit(docs), ["doc_id"]).orderBy("record.doc_id").collect()] == [1, 0]
+
+
 def test_rollups_follow_a_plain_ledger(spark, tmp_path):
     rng = random.Random(4)
     store, ledger = Rollups(spark, f"{tmp_path}/store"), {}

@@ -8,9 +8,10 @@ masked; a text's score is the sum of the log-probabilities of all its words.
   buckets of like frequency: log P(word) = log P(class | both sides) + log P(bucket | class).
 * *Network.* Embeddings of the six neighbours, one tanh layer, a softmax over the classes; numpy.
 * *Training.* Every task trains the current weights on its own texts, each text from every ``stride``-th word
-  (starting at a place that follows from the text), and sends its weights, parameter by parameter; Spark
-  averages them, weighted by words seen, and the next round starts from the mean. So all documents
-  take part, and what is gathered grows with them; what reaches the driver is one set of weights.
+  (starting at a place that follows from the text, and one further each round), and sends its weights,
+  parameter by parameter; Spark averages them, weighted by words seen, and the next round starts from the
+  mean. There are as many rounds as places in a stride, so every word of every text is a target once, and
+  what is gathered grows with the texts; what reaches the driver is one set of weights.
 
 Null and empty texts have no words: sum 0, mean null. Repeated rows get equal scores. An empty corpus gives
 no rows. Results vary in the last digits with how the input is split, since tasks train on their own share.
@@ -137,7 +138,7 @@ def _shaped(flat: np.ndarray) -> dict[str, np.ndarray]:
     return {k: part.reshape(s).astype(np.float32) for (k, s), part in zip(SHAPES.items(), np.split(flat, ends[:-1]))}
 
 
-def _train_here(held, stride: int, rate: float):
+def _train_here(held, stride: int, turn: int, rate: float):
     def run(batches):
         vocabulary, start = held.value
         weights, seen = {k: v.copy() for k, v in start.items()}, 0
@@ -147,7 +148,7 @@ def _train_here(held, stride: int, rate: float):
                 b = buckets_of(text)
                 if len(b):
                     cls = vocabulary.cls[b]
-                    first = int(b[0]) % min(stride, len(b))
+                    first = (int(b[0]) + turn) % stride
                     context.append(contexts(cls)[first::stride])
                     target.append(cls[first::stride])
             if target:
@@ -162,8 +163,11 @@ def _train_here(held, stride: int, rate: float):
     return run
 
 
-def fit(docs: DataFrame, rounds: int = 2, stride: int = 8, rate: float = 0.5, seed: int = 3):
-    """Vocabulary and weights from all texts; None if there is no word at all."""
+def fit(docs: DataFrame, rounds: int = 2, stride: int | None = None, rate: float = 0.5, seed: int = 3):
+    """Vocabulary and weights from all texts; None if there is no word at all.
+
+    ``stride`` is by default ``rounds``: the rounds' places differ, and together they are all words.
+    """
     spark = docs.sparkSession
     got = docs.select("text").mapInPandas(_count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     if not len(got):
@@ -174,9 +178,10 @@ def fit(docs: DataFrame, rounds: int = 2, stride: int = 8, rate: float = 0.5, se
     weights = first_weights(vocabulary.prior, seed)
     for k in range(rounds):
         held = spark.sparkContext.broadcast((vocabulary, weights))
-        sums = docs.select("text").mapInPandas(_train_here(held, stride, rate / (k + 1)), "i int, v double, seen double")
+        sums = docs.select("text").mapInPandas(_train_here(held, stride or rounds, k, rate / (k + 1)), "i int, v double, seen double")
         mean = sums.groupBy("i").agg((F.sum("v") / F.sum("seen")).alias("v")).toPandas().sort_values("i")
-        weights = _shaped(mean["v"].to_numpy())
+        if len(mean):  # else no text has a word at this round's places
+            weights = _shaped(mean["v"].to_numpy())
         held.unpersist()
     return vocabulary, weights
 
