@@ -58,6 +58,23 @@ def test_outliers_go_and_usual_texts_stay(documents, prose):
     assert not any(out[k].kept for k in range(2000, 2004))
 
 
+def test_each_axis_can_reject_by_itself(documents, prose):
+    rng = random.Random(9)
+    lines = lambda n: [prose(rng.randrange(6, 14)) for _ in range(n)]
+    rows = [(k, "\n".join(lines(rng.randrange(8, 40))), "en", "s") for k in range(600)]
+    some = lambda text: " ".join(w + "##" * (rng.random() < 0.3) for w in text.split(" "))
+    doubled = lambda text: "\n".join(f"{x}\nread on" for x in text.split("\n"))
+    phrases = lambda text: " ".join(f"{w} of all the things we saw" if k % 9 == 0 else w for k, w in enumerate(text.split()))
+    for k in range(20):
+        plain = "\n".join(lines(20))
+        rows += [(1000 + k, some(plain), "en", "s"), (2000 + k, doubled(plain), "en", "s"), (3000 + k, phrases(plain), "en", "s")]
+    out = {r.record.doc_id: r for r in robust_outliers(with_counts(documents(rows)), "record.lang", "record.source").collect()}
+    assert not any(r.base_failed for r in out.values())
+    for bad in (1000, 2000, 3000):
+        assert not any(out[bad + k].kept for k in range(20)), bad
+    assert sum(out[k].kept for k in range(600)) >= 597
+
+
 def test_constant_group_and_empty_table(documents):
     text = " ".join(f"w{k}" for k in range(80))
     same = robust_outliers(with_counts(documents([(k, text) for k in range(250)])), "record.lang", "record.source").collect()

@@ -4,7 +4,9 @@ Every text is turned into word and line counts, and these into a transformed sta
 each (language, source) the minimum-covariance-determinant estimate is found by concentration steps
 over all rows: take the half of the rows nearest to the current centre, re-estimate centre and
 covariance from them, repeat. Two deterministic starts run side by side and the one with the smaller
-determinant wins. A row whose squared Mahalanobis distance passes the cutoff is rejected.
+determinant wins. A row whose squared Mahalanobis distance passes the chi-square quantile of the tail is
+rejected. Shares (symbols, repeated lines and words) enter as square roots, which spreads a binomial share
+alike over its range; in the last distance only their excess over the centre counts.
 
 Nothing is sampled. A step is two map-side combined aggregates over a small staged table: a count
 per (group, start, distance bin), whose running sum gives the half, then sums of x and of x*x'.
@@ -32,7 +34,9 @@ from wardframe.llm.common import Stages, per_row, table, words_of
 
 SYMBOLS = re.compile(r"[#*$%&|<>]")
 #: Transformed statistics, in order, with the smallest spread that counts as spread on each axis.
-AXES = {"length": 0.25, "word_length": 0.05, "symbols": 0.5, "dup_lines": 0.5, "repeats": 0.5}
+AXES = {"length": 0.25, "word_length": 0.05, "symbols": 0.05, "dup_lines": 0.1, "repeats": 0.1}
+#: Axes on which only more than usual is bad.
+ONE_SIDED = {"symbols", "dup_lines", "repeats"}
 K = len(AXES)
 BINS_PER_OCTAVE = 64
 
@@ -97,13 +101,14 @@ def with_counts(docs: DataFrame, text: str = "text", keep: list[str] | None = No
 
 def _vector() -> dict[str, Column]:
     n, chars, lines = (F.greatest(F.col(c), F.lit(1)).cast("double") for c in ("n_words", "word_chars", "n_lines"))
-    share = lambda a, b: F.log((F.col(a) + 0.5) / (b - F.col(a) + 0.5).cast("double"))
+    # The constant keeps one symbol, line or phrase of a short text from being a large share.
+    share = lambda a, b, more: F.sqrt(F.col(a) / (b + more))
     return {
         "length": F.log(n),
         "word_length": F.log(chars / n),
-        "symbols": F.log((F.col("n_symbols") + 1.0) / (chars + 100.0)),
-        "dup_lines": share("n_dup_lines", lines),
-        "repeats": share("n_repeat_words", n),
+        "symbols": share("n_symbols", chars, 100.0),
+        "dup_lines": share("n_dup_lines", lines, 10.0),
+        "repeats": share("n_repeat_words", n, 50.0),
     }
 
 
@@ -111,13 +116,13 @@ def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def robust_outliers(counted: DataFrame, lang: str, source: str, least: int = 200, steps: int = 8, half: float = 0.5, cutoff: float = 100.0) -> DataFrame:
+def robust_outliers(counted: DataFrame, lang: str, source: str, least: int = 200, steps: int = 8, half: float = 0.5, tail: float = 1e-4) -> DataFrame:
     """``counted`` with ``distance`` (squared, null where no estimate holds) and ``kept``.
 
-    ``cutoff`` bounds the squared distance. Vectors of natural text have far heavier tails than
-    normal ones, so it is set well past their chi-square quantiles: only rows that lie far from
-    everything usual for their language and source go.
+    A normal vector passes the cutoff with probability ``tail``: the squared distance may be at most the
+    chi-square quantile of 1 - ``tail``.
     """
+    cutoff = _chi2_quantile(1 - tail, K)
     spark = counted.sparkSession
     stages = Stages(spark, "quality-rules")
     rows = stages.write(
@@ -140,7 +145,7 @@ def robust_outliers(counted: DataFrame, lang: str, source: str, least: int = 200
         models.groupBy("pool").agg(F.min_by(F.struct("m", "inv"), F.struct("logdet", "start")).alias("b"))
         .select("pool", "b.*")
     )
-    far = fit.join(best, "pool").select("at", _distance().alias("distance"))
+    far = fit.join(best, "pool").select("at", _distance(ONE_SIDED).alias("distance"))
     scored = rows.join(far, "at", "left")
     return scored.drop("at", *[f"x_{a}" for a in AXES]).withColumn(
         "kept", ~F.col("base_failed") & (F.coalesce(F.col("distance"), F.lit(0.0)) <= cutoff)
@@ -187,8 +192,9 @@ def _starts(fit: DataFrame) -> DataFrame:
     return mad.mapInPandas(build, "pool string, start int, m array<double>, inv array<double>, logdet double")
 
 
-def _distance() -> Column:
+def _distance(one_sided: set[str] = frozenset()) -> Column:
     d = [F.col(f"x{i}") - F.col("m")[i] for i in range(K)]
+    d = [F.greatest(x, F.lit(0.0)) if a in one_sided else x for a, x in zip(AXES, d)]
     total = F.lit(0.0)
     for i in range(K):
         for j in range(i, K):
@@ -254,11 +260,16 @@ def _half_factor(share: float) -> float:
     share = min(max(share, 0.05), 1.0)
     if share > 0.999:
         return 1.0
+    return _chi2_cdf(_chi2_quantile(share, K), K + 2) / share
+
+
+def _chi2_quantile(share: float, k: int) -> float:
+    """For odd k."""
     lo, hi = 0.0, 200.0
     for _ in range(60):
         mid = (lo + hi) / 2
-        lo, hi = (mid, hi) if _chi2_cdf(mid, K) < share else (lo, mid)
-    return _chi2_cdf(lo, K + 2) / share
+        lo, hi = (mid, hi) if _chi2_cdf(mid, k) < share else (lo, mid)
+    return lo
 
 
 def _chi2_cdf(q: float, k: int) -> float:
