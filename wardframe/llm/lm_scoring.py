@@ -1,4 +1,4 @@
-"""Masked pseudo-likelihood of texts under a bidirectional window network.
+"""Masked pseudo-likelihood of texts under a bidirectional window network over word classes.
 
 Every word is predicted from the three words on its left and the three on its right, its own place
 masked; a text's score is the sum of the log-probabilities of all its words.
@@ -6,6 +6,7 @@ masked; a text's score is the sum of the log-probabilities of all its words.
 * *Vocabulary.* Words (A-Z lower-cased) fall into 2**17 hash buckets, counted over the whole corpus in tasks
   and summed by Spark. The most frequent buckets are classes of their own, the others share classes of
   buckets of like frequency: log P(word) = log P(class | both sides) + log P(bucket | class).
+  The second term knows no context, and of words outside the most frequent the context tells the class only.
 * *Network.* Embeddings of the six neighbours, one tanh layer, a softmax over the classes; numpy.
 * *Training.* Every task trains the current weights on its own texts, each text from every ``stride``-th word
   (starting at a place that follows from the text, and one further each round), and sends its weights,
