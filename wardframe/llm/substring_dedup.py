@@ -1,8 +1,8 @@
-"""Removal of repeated passages by prefix-partitioned suffix trees, kept sparse and word-based.
+"""Removal of repeated passages by anchored window hashing, in place of suffix trees.
 
-A suffix of a document is its words from one position on; two suffixes that agree on ``window``
-words share a node at that depth, and every node that deep is a repeat. The suffixes are split by
-prefixes of variable length:
+A suffix of a document is its words from one position on. Two suffixes that agree on ``window`` words
+would share a node of a suffix tree at that depth, and only that depth is asked for; so no tree is
+built, and nodes are hashes of windows. The suffixes are split at two fixed depths:
 
 * The first cut takes ``gram``-word prefixes, and only of suffixes at *anchors*: the position in each
   window whose gram has the smallest hash. Equal windows have equal anchors, so this sparse set (about
