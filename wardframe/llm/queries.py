@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from wardframe.llm.concat_packing import op11_concat_packing
 from wardframe.llm.decontamination import op4_benchmark_decontamination
 from wardframe.llm.lm_scoring import op7_lm_scoring
 from wardframe.llm.ngram_join import OP5_SQL, op5_ngram_jaccard_join
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_shuffled_shards": op8_shuffled_shards,
     "op9_token_counts": op9_token_counts,
     "op10_robust_outliers": op10_robust_outliers,
+    "op11_concat_packing": op11_concat_packing,
 }
 
 ORACLES = {
