@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from wardframe.functions import codes as C
 from wardframe.operators import temporal as tp
 from wardframe.operators.cohort import KEYS
+from wardframe.operators.ranks import lower_quantile
 from wardframe.operators.rules import Unit, normalize_units, without_errors
 from wardframe.operators.skew import HotKeys, join_one_per_key, keys_apart, not_null
 
@@ -95,12 +96,10 @@ def creatinine_baseline(
     methods = {
         "nadir": F.min(value),
         "maximum": F.max(value),
-        # exact; its buffer holds the distinct values of an admission, not its rows
-        "median": F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY creatinine)"),
         "first": F.min_by(value, F.struct("charttime", "row_id")),
     }
-    if method not in methods:
-        raise ValueError(f"unknown baseline method {method!r}: one of {sorted(methods)}")
+    if method not in [*methods, "median"]:
+        raise ValueError(f"unknown baseline method {method!r}: one of {sorted([*methods, 'median'])}")
     near = tp.within_anchor(
         creatinines,
         admissions.select(*KEYS, "admittime"),
@@ -111,6 +110,8 @@ def creatinine_baseline(
         window,
         hot,
     )
+    if method == "median":
+        return lower_quantile(near, KEYS, "creatinine", 0.5, "baseline", hot)
     return near.groupBy(*KEYS).agg(methods[method].alias("baseline"))
 
 
