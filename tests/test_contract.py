@@ -14,7 +14,8 @@ SAMPLE = [
     "t3_asof_backward", "t3_asof_backward_null_keys_hot_keys", "t4_rolling_range_agg_null_keys_hot_keys", "t4_rolling_range_agg_hot_keys", "t8_sessionize_hot_keys",
     "c3_vent_durations_hot_keys", "c9_oasis_score", "c12_urine_stats", "c17_running_aki_stages",
     "c24_running_anemia_hot_keys", "d1_admission_demographics", "l5_label_distribution_anemia",
-    "l7_acquired_stage_onsets_aki", "l10_positive_onsets_pi", "s2_load_catalog",
+    "l7_acquired_stage_onsets_aki", "l9_positive_table_onsets_aki", "l10_positive_onsets_pi", "l12_control_cohort_aki",
+    "c14_creatinine_baseline_median_hot_keys", "c8_first_day_concepts_hot_keys", "s2_load_catalog",
 ]
 
 
@@ -35,7 +36,23 @@ def test_every_job_of_the_inventory_is_registered():
 
 
 def test_entry(spark):
-    assert contract.entry(spark).columns == ["subject_id", "hadm_id", "timestamp", "label"]
+    onsets = contract.entry(spark)
+    assert onsets.columns == ["subject_id", "hadm_id", "timestamp", "label"] and onsets.count() > 0
+
+
+@pytest.mark.parametrize("folder", [SF, "/root/testdata/sf0.01"])
+def test_no_query_compares_nothing_with_nothing(folder):
+    """Every statement has rows; the samples below hold the queries to them."""
+    every = duckdb_connection(folder)
+    assert [k for k, sql in ORACLES.items() if not every.execute(sql).fetchone()] == []
+
+
+def test_kidney_labels_meet_admissions_that_are_excluded_and_that_are_not():
+    every = duckdb_connection("/root/testdata/sf0.01")
+    rows = {k: every.execute(ORACLES[k]).fetchall() for k in ("l6_stage_onsets_aki", "l7_acquired_stage_onsets_aki")}
+    ill, acquired = ({r[:2] for r in rows[k]} for k in rows)
+    assert acquired < ill and len(acquired) > 10 and len(ill - acquired) > 10
+    assert {r[3] for r in rows["l7_acquired_stage_onsets_aki"]} == {1, 2, 3}
 
 
 @pytest.mark.parametrize("key", SAMPLE)

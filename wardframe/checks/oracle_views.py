@@ -67,7 +67,7 @@ VIEWS = {
             ELSE 50809 END AS itemid,
           CASE WHEN row_id % 41 = 0 THEN NULL
             WHEN event_type = 'view' THEN round(0.4 + value / 50, 4)
-            ELSE round(value / 10, 3) END AS valuenum
+            WHEN row_id % 43 = 0 THEN 0 ELSE round(5 + value / 10, 3) END AS valuenum
         FROM fx_events""",
     "fx_chart_hgb": """
         SELECT row_id, subject_id, hadm_id, charttime,
@@ -120,7 +120,8 @@ VIEWS = {
         FROM fx_events WHERE event_type = 'purchase'""",
     "fx_urine": f"""
         SELECT row_id, subject_id, subject_id AS hadm_id, 40055 AS itemid, {FAST},
-          value / 20 AS value, CASE WHEN row_id % 97 = 0 THEN 1 END AS iserror
+          CASE WHEN subject_id % 5 = 4 THEN 200 + value ELSE value / 20 END AS value,
+          CASE WHEN row_id % 97 = 0 THEN 1 END AS iserror
         FROM fx_events""",
     "fx_weights": f"""
         SELECT row_id, subject_id, subject_id AS hadm_id,
@@ -131,12 +132,17 @@ VIEWS = {
             AS valueuom,
           CASE WHEN row_id % 50 = 0 THEN 1 END AS error
         FROM fx_events WHERE event_type = 'signup'""",
-    "fx_fast_creatinine": f"""
-        SELECT row_id, subject_id, subject_id AS hadm_id, {FAST},
-          round(0.4 + value / 50, 4) AS creatinine
-        FROM fx_events WHERE event_type = 'view'""",
     "fx_fast_admissions": """
-        SELECT DISTINCT subject_id, hadm_id, TIMESTAMP '2024-01-01' AS admittime FROM fx_urine""",
+        SELECT DISTINCT subject_id, hadm_id,
+          TIMESTAMP '2024-01-01' - (subject_id % 4 * 20) * INTERVAL 1 HOUR AS admittime FROM fx_urine""",
+    "fx_fast_labevents": f"""
+        SELECT row_id, subject_id, CASE WHEN hadm_id IS NOT NULL THEN subject_id END AS hadm_id, {FAST},
+          itemid, CASE WHEN subject_id % 5 = 4 THEN 0.8::DOUBLE + valuenum / 100 ELSE valuenum END AS valuenum
+        FROM fx_labevents
+        UNION ALL
+        SELECT -subject_id, subject_id, hadm_id, admittime + INTERVAL 1 HOUR, 50912,
+          CASE WHEN subject_id % 5 = 4 THEN 0.8::DOUBLE ELSE (6 + subject_id % 7) / 10::DOUBLE END
+        FROM fx_fast_admissions""",
     "fx_outputs": """
         SELECT row_id, subject_id, hadm_id, icustay_id, charttime,
           CASE WHEN row_id % 10 = 0 THEN 227488 ELSE 226559 END AS itemid, value * 20 AS value
@@ -152,7 +158,8 @@ VIEWS = {
         FROM fx_events WHERE event_type = 'signup'""",
     "fx_fast_notes": f"""
         SELECT subject_id, hadm_id, charttime AS "timestamp", label FROM (
-          SELECT subject_id, subject_id AS hadm_id, {FAST}, value > 60 AS label
+          SELECT subject_id, subject_id AS hadm_id, {FAST},
+            value > 60 AND NOT subject_id % 5 = 4 AS label
           FROM fx_events WHERE event_type = 'error')""",
     "fx_fast_diagnoses": "SELECT * REPLACE (subject_id AS hadm_id) FROM fx_diagnoses",
     "fx_ccs": f"""

@@ -17,6 +17,7 @@ from wardframe.checks.expected_values import PRESSURE_VALUES
 from wardframe.operators.skew import MAX_ROWS, SLIDING_ROWS, HotKeys, measure_hot_keys, pin
 
 KEYS = ["subject_id", "hadm_id"]
+WELL = "(subject_id % 5 = 4)"  # users of the fast clock without any sign of kidney injury
 
 
 def _case(selector: str, *branches: tuple[object, object], default: object) -> Column:
@@ -169,7 +170,7 @@ class Roles:
             F.expr(
                 "CASE WHEN row_id % 41 = 0 THEN NULL "
                 "WHEN event_type = 'view' THEN round(0.4D + value / 50, 4) "
-                "ELSE round(value / 10, 3) END"
+                "WHEN row_id % 43 = 0 THEN 0D ELSE round(5 + value / 10, 3) END"
             ).alias("valuenum"),
         )
 
@@ -305,7 +306,7 @@ class Roles:
             F.col("subject_id").alias("hadm_id"),
             F.lit(40055).alias("itemid"),
             self._fast(),
-            (F.col("value") / 20).alias("value"),
+            F.expr(f"CASE WHEN {WELL} THEN 200 + value ELSE value / 20 END").alias("value"),
             F.expr("CASE WHEN row_id % 97 = 0 THEN 1 END").alias("iserror"),
         )
 
@@ -328,21 +329,33 @@ class Roles:
         )
 
     @cached_property
-    def fast_creatinine(self) -> DataFrame:
-        return self.of_type("view").select(
+    def fast_labevents(self) -> DataFrame:
+        """The labs of the month, and of each admission a first creatinine an hour after its start."""
+        first = self.fast_admissions.select(
+            (-F.col("subject_id")).alias("row_id"),
+            *KEYS,
+            (F.col("admittime") + F.expr("INTERVAL 1 HOUR")).alias("charttime"),
+            F.lit(50912).alias("itemid"),
+            F.expr(f"CASE WHEN {WELL} THEN 0.8D ELSE (6 + subject_id % 7) / 10D END").alias("valuenum"),
+        )
+        labs = self.labevents.select(
             "row_id",
             "subject_id",
-            F.col("subject_id").alias("hadm_id"),
+            F.expr("CASE WHEN hadm_id IS NOT NULL THEN subject_id END").alias("hadm_id"),
             self._fast(),
-            F.round(0.4 + F.col("value") / 50, 4).alias("creatinine"),
+            "itemid",
+            F.expr(f"CASE WHEN {WELL} THEN 0.8D + valuenum / 100 ELSE valuenum END").alias("valuenum"),
         )
+        return labs.unionByName(first)
 
     @cached_property
     def fast_admissions(self) -> DataFrame:
+        """Starts up to 60 hours before the month, so that the first 48 hours end before, among or after its events."""
+        before = F.expr("make_dt_interval(0, CAST(subject_id % 4 * 20 AS INT))")
         return (
             self.urine.select(*KEYS)
             .distinct()
-            .withColumn("admittime", F.expr("TIMESTAMP_NTZ'2024-01-01'"))
+            .withColumn("admittime", F.expr("TIMESTAMP_NTZ'2024-01-01'") - before)
         )
 
     @cached_property
@@ -351,7 +364,7 @@ class Roles:
             "subject_id",
             F.col("subject_id").alias("hadm_id"),
             self._fast().alias("timestamp"),
-            (F.col("value") > 60).alias("label"),
+            F.expr(f"value > 60 AND NOT {WELL}").alias("label"),
         )
 
     @cached_property

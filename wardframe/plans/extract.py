@@ -69,40 +69,44 @@ class Catalog:
 
 
 def concept_tables(c: Catalog) -> dict[str, DataFrame]:
-    """First-day tables, ventilation episodes and the severity score, as stages."""
+    """Ventilation episodes, all first-day concepts in one pass, and the severity score, as stages."""
     stays, outputs, chart = c.table("icustays"), c.table("outputevents"), c.chart()
 
     def hot(events: DataFrame, t: str = "charttime"):
         return measure_hot_keys(events, ["icustay_id"], t)
 
-    urine = c.stage("urine_first_day", lambda: severity.urine_first_day(stays, outputs, hot(outputs)))
     settings = c.stage(
         "vent_settings", lambda: ventilation.vent_settings(chart, c.table("procedureevents_mv"))
     )
     durations = c.stage(
         "vent_durations", lambda: ventilation.vent_durations(settings, hot(settings))
     )
-    vent = c.stage(
-        "vent_first_day",
-        lambda: ventilation.vent_first_day(stays, durations, hot(durations, "starttime")),
+    day = c.stage(
+        "first_day",
+        lambda: severity.first_day(
+            stays, chart, outputs, durations, hot(chart.unionByName(outputs, allowMissingColumns=True))
+        ),
     )
-    vitals = c.stage("vitals_first_day", lambda: severity.vitals_first_day(stays, chart, hot(chart)))
-    gcs = c.stage("gcs_first_day", lambda: severity.gcs_first_day(stays, chart, hot(chart)))
 
     def oasis() -> DataFrame:
         surgical = severity.surgical_flag(stays, c.table("services"))
         cohort = severity.oasis_cohort(
-            stays, c.table("admissions"), c.table("patients"), urine, vent, vitals, gcs, surgical
+            stays, c.table("admissions"), c.table("patients"), day, surgical
         )
         return severity.oasis_score(cohort)
 
+    def of_day(columns: list[str], known: str | None = None) -> DataFrame:
+        rows = day if known is None else day.where(F.col(known).isNotNull())
+        return rows.select(*severity.STAY, *columns)
+
     return {
-        "urine_first_day": urine,
+        "urine_first_day": of_day(["urineoutput"], "urineoutput"),
         "vent_settings": settings,
         "vent_durations": durations,
-        "vent_first_day": vent,
-        "vitals_first_day": vitals,
-        "gcs_first_day": gcs,
+        "vent_first_day": of_day(["vent"]),
+        "vitals_first_day": of_day(severity.VITAL_COLUMNS),
+        "gcs_first_day": of_day(["mingcs", *severity.GCS_PARTS, "endotrachflag"]),
+        "first_day": day,
         "oasis": c.stage("oasis", oasis),
     }
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from wardframe.functions import codes as C
 from wardframe.operators import temporal as tp
@@ -16,10 +16,12 @@ from wardframe.operators.rules import (
     pivot_agg,
     without_errors,
 )
-from wardframe.operators.skew import HotKeys
+from wardframe.operators.skew import HotKeys, keys_apart
+from wardframe.plans.ventilation import vent_first_day
 
 STAY = ["subject_id", "hadm_id", "icustay_id"]
 DAY = "1 DAY"
+GCS_REACH = "6 HOURS"  # how far back a missing part of the coma score is looked for
 
 VITAL_UNITS = [
     Unit(itemid, "tempc", 32.0, 1.0, 1.8, low, high, closed)
@@ -37,20 +39,23 @@ def _first_day(
     return tp.within_anchor(events, anchors, keys, "charttime", "intime", None, DAY, hot)
 
 
+def _urine_volumes(outputevents: DataFrame) -> DataFrame:
+    codes = [*C.URINE_OUTPUT, C.GU_IRRIGANT_IN, C.GU_IRRIGANT_OUT]
+    put_in = (F.col("itemid") == C.GU_IRRIGANT_IN) & (F.col("value") > 0)
+    volume = F.when(put_in, -F.col("value")).otherwise(F.col("value"))
+    return outputevents.where(F.col("itemid").isin(codes)).select(
+        *STAY, "charttime", volume.alias("volume")
+    )
+
+
 def urine_first_day(
     icustays: DataFrame, outputevents: DataFrame, hot: HotKeys | None = None
 ) -> DataFrame:
     """Urine of the first day; irrigant put in counts negative. Stays without any drop out."""
-    codes = [*C.URINE_OUTPUT, C.GU_IRRIGANT_IN, C.GU_IRRIGANT_OUT]
-    urine = outputevents.where(F.col("itemid").isin(codes)).select(
-        *STAY, "charttime", "itemid", "value"
-    )
-    put_in = (F.col("itemid") == C.GU_IRRIGANT_IN) & (F.col("value") > 0)
-    volume = F.when(put_in, -F.col("value")).otherwise(F.col("value"))
     return (
-        _first_day(urine, icustays, STAY, hot)
+        _first_day(_urine_volumes(outputevents), icustays, STAY, hot)
         .groupBy(*STAY)
-        .agg(F.sum(volume).alias("urineoutput"))
+        .agg(F.sum("volume").alias("urineoutput"))
     )
 
 
@@ -81,43 +86,31 @@ def vital_series(chartevents: DataFrame) -> DataFrame:
     return normalize_units(chartevents, VITAL_UNITS)
 
 
-def gcs_first_day(
-    icustays: DataFrame, chartevents: DataFrame, hot: HotKeys | None = None
-) -> DataFrame:
-    """Lowest coma score of the first day, missing parts taken from less than six hours before."""
+GCS_PARTS = ["gcsmotor", "gcsverbal", "gcseyes"]
+GCS_DEFAULTS = {"gcsmotor": 6.0, "gcsverbal": 5.0, "gcseyes": 4.0}
+GCS_UNITS = [
+    Unit(itemid, part)
+    for part, codes in zip(GCS_PARTS, (C.GCS_MOTOR, C.GCS_VERBAL, C.GCS_EYES))
+    for itemid in codes
+]
+
+
+def _points() -> Column:
+    """The charted number; 0 for the speech of an intubated patient, who cannot speak."""
     item, value = F.col("itemid"), F.col("value")
-    part = (
-        F.when(item.isin(C.GCS_VERBAL), "gcsverbal")
-        .when(item.isin(C.GCS_MOTOR), "gcsmotor")
-        .when(item.isin(C.GCS_EYES), "gcseyes")
-    )
     intubated = reduce(
         lambda a, b: a | b, [(item == code) & (value == text) for code, text in C.GCS_INTUBATED]
     )
-    # An intubated patient cannot speak: verbal 0, told apart below.
-    points = F.when(intubated, 0.0).otherwise(F.col("valuenum"))
-    readings = chartevents.where(
-        item.isin([*C.GCS_VERBAL, *C.GCS_MOTOR, *C.GCS_EYES])
-        & F.col("icustay_id").isNotNull()
-        & without_errors()
-    ).select("icustay_id", "charttime", part.alias("part"), points.alias("points"))
-    parts = ["gcsmotor", "gcsverbal", "gcseyes"]
-    base = pivot_agg(
-        _first_day(readings, icustays, ["icustay_id"], hot),
-        ["icustay_id", "charttime"],
-        "part",
-        "points",
-        {p: p for p in parts},
-        ["max"],
-    ).withColumnsRenamed({f"{p}_max": p for p in parts})
-    scored = tp.prev_within(
-        base, ["icustay_id"], "charttime", {f"prev_{p}": p for p in parts}, "6 HOURS", hot=hot
-    )
-    defaults = {"gcsmotor": 6.0, "gcsverbal": 5.0, "gcseyes": 4.0}
+    return F.when(intubated, 0.0).otherwise(F.col("valuenum"))
+
+
+def _with_coma_score(readings: DataFrame) -> DataFrame:
+    """``mingcs``, the parts and ``endotrachflag`` from the parts and, as ``prev_*``, those just before."""
 
     def summed(*sources: str):
         terms = [
-            F.coalesce(*[F.col(f"{s}{p}") for s in sources], F.lit(defaults[p])) for p in parts
+            F.coalesce(*[F.col(f"{s}{p}") for s in sources], F.lit(GCS_DEFAULTS[p]))
+            for p in GCS_PARTS
         ]
         return terms[0] + terms[1] + terms[2]
 
@@ -128,17 +121,133 @@ def gcs_first_day(
         .when(prev_verbal == 0, summed(""))
         .otherwise(summed("", "prev_"))
     )
-    scored = scored.select(
-        "icustay_id",
-        "charttime",
-        score.alias("mingcs"),
-        *[F.coalesce(p, f"prev_{p}").alias(p) for p in parts],
-        F.when(verbal == 0, 1).otherwise(0).alias("endotrachflag"),
+    return readings.withColumns(
+        {
+            "mingcs": score,
+            "endotrachflag": F.when(verbal == 0, 1).otherwise(0),
+            **{p: F.coalesce(p, f"prev_{p}") for p in GCS_PARTS},
+        }
+    )
+
+
+def gcs_first_day(
+    icustays: DataFrame, chartevents: DataFrame, hot: HotKeys | None = None
+) -> DataFrame:
+    """Lowest coma score of the first day, missing parts taken from less than six hours before."""
+    usable = chartevents.where(F.col("icustay_id").isNotNull()).select(
+        "icustay_id", "charttime", "itemid", "error", _points().alias("points")
+    )
+    readings = normalize_units(usable, GCS_UNITS, value="points").select(
+        "icustay_id", "charttime", "concept", "value_norm"
+    )
+    base = pivot_agg(
+        _first_day(readings, icustays, ["icustay_id"], hot),
+        ["icustay_id", "charttime"],
+        "concept",
+        "value_norm",
+        {p: p for p in GCS_PARTS},
+        ["max"],
+    ).withColumnsRenamed({f"{p}_max": p for p in GCS_PARTS})
+    paired = tp.prev_within(
+        base, ["icustay_id"], "charttime", {f"prev_{p}": p for p in GCS_PARTS}, GCS_REACH, hot=hot
+    )
+    scored = _with_coma_score(paired).select(
+        "icustay_id", "charttime", "mingcs", *GCS_PARTS, "endotrachflag"
     )
     lowest = tp.pick_row(scored, ["icustay_id"], ["mingcs", "charttime"]).drop("charttime")
     return icustays.select(*STAY).join(lowest, "icustay_id", "left").select(
-        *STAY, "mingcs", *parts, "endotrachflag"
+        *STAY, "mingcs", *GCS_PARTS, "endotrachflag"
+    )
+
+
+VITAL_COLUMNS = [f"{v}_{agg}" for v in C.VITAL_NAMES for agg in ("min", "max", "mean")]
+FIRST_DAY = ["urineoutput", "vent", *VITAL_COLUMNS, "mingcs", *GCS_PARTS, "endotrachflag"]
+
+
+@keys_apart("icustays", "chartevents", "outputevents", "durations")
+def first_day(
+    icustays: DataFrame,
+    chartevents: DataFrame,
+    outputevents: DataFrame,
+    durations: DataFrame,
+    hot: HotKeys | None = None,
+) -> DataFrame:
+    """All first-day concepts of every stay in one pass: urine, ventilation, vital signs, coma score.
+
+    Each event is looked up once, as (concept, unit, range), and meets its stay once; one aggregate per
+    stay and instant and one per stay give all columns, on one partitioning by stay. The columns are those of
+    the single jobs, which also do the work for hot stays (``hot`` is by ``icustay_id``).
+    """
+    if hot is not None:
+        parts = [
+            urine_first_day(icustays, outputevents, hot),
+            vent_first_day(icustays, durations, hot),
+            vitals_first_day(icustays, chartevents, hot),
+            gcs_first_day(icustays, chartevents, hot),
+        ]
+        wide = icustays.select(*STAY)
+        for part in parts:
+            wide = wide.join(part.drop("subject_id", "hadm_id"), "icustay_id", "left")
+        return wide.select(*STAY, *FIRST_DAY)
+
+    stays = icustays.select(*STAY, "intime")
+    charted = normalize_units(
+        chartevents.select(*STAY, "charttime", "itemid", "error", _points().alias("points")),
+        [*VITAL_UNITS, *GCS_UNITS],
+        value="points",
+    )
+    urine = _urine_volumes(outputevents).withColumn("concept", F.lit("urine"))
+    columns = [*STAY, "charttime", "concept", "value_norm"]
+    readings = charted.select(*columns).unionByName(
+        urine.withColumnRenamed("volume", "value_norm").select(*columns)
+    )
+    anchors = stays.select("icustay_id", F.struct("subject_id", "hadm_id").alias("_of"), "intime")
+    day = tp.within_anchor(readings, anchors, ["icustay_id"], "charttime", "intime", None, DAY)
+    coma, of_stay = F.col("concept").isin(GCS_PARTS), F.struct("subject_id", "hadm_id") == F.col("_of")
+
+    def of(concept: str) -> Column:
+        return F.when(F.col("concept") == concept, F.col("value_norm"))
+
+    instants = (
+        day.where(coma | of_stay)
+        .groupBy("icustay_id", "charttime")
+        .agg(
+            F.bool_or(coma).alias("_coma"),
+            F.sum(of("urine")).alias("urine_sum"),
+            *[F.max(of(p)).alias(p) for p in GCS_PARTS],
+            *[
+                fn(of(v)).alias(f"{v}_{name}")
+                for v in C.VITAL_NAMES
+                for name, fn in (("min", F.min), ("max", F.max), ("sum", F.sum), ("n", F.count))
+            ],
+        )
+    )
+    # The coma readings just before, over rows that may hold other concepts only.
+    before = {**{f"prev_{p}": p for p in GCS_PARTS}, "_prev_t": "charttime"}
+    paired = tp.previous_row(instants, ["icustay_id"], ["charttime"], before, where=F.col("_coma"))
+    near = F.col("_prev_t") > F.col("charttime") - tp.interval(GCS_REACH)
+    paired = paired.withColumns({f"prev_{p}": F.when(near, F.col(f"prev_{p}")) for p in GCS_PARTS})
+    lowest = F.struct("mingcs", *GCS_PARTS, "endotrachflag")
+    per_stay = (
+        _with_coma_score(paired)
+        .groupBy("icustay_id")
+        .agg(
+            F.sum("urine_sum").alias("urineoutput"),
+            *[
+                column.alias(f"{v}_{name}")
+                for v in C.VITAL_NAMES
+                for name, column in (
+                    ("min", F.min(f"{v}_min")),
+                    ("max", F.max(f"{v}_max")),
+                    ("mean", F.sum(f"{v}_sum") / F.nullif(F.sum(f"{v}_n"), F.lit(0))),
+                )
+            ],
+            F.min_by(lowest, F.when(F.col("_coma"), F.struct("mingcs", "charttime"))).alias("_low"),
+        )
+        .select("*", "_low.*")
     )
+    vented = tp.overlap_flag(stays, durations, "icustay_id", "intime", DAY, "vent")
+    return vented.join(per_stay, "icustay_id", "left").select(*STAY, *FIRST_DAY)
 
 
 def surgical_flag(icustays: DataFrame, services: DataFrame) -> DataFrame:
@@ -159,13 +268,13 @@ def oasis_cohort(
     icustays: DataFrame,
     admissions: DataFrame,
     patients: DataFrame,
-    urine: DataFrame,
-    vent: DataFrame,
-    vitals: DataFrame,
-    gcs: DataFrame,
+    concepts: DataFrame,
     surgical: DataFrame,
 ) -> DataFrame:
-    """One row per ICU stay with everything the score needs; all sides have one row per key."""
+    """One row per ICU stay with everything the score needs; all sides have one row per key.
+
+    ``concepts`` has the columns of ``first_day``.
+    """
     vital_columns = [
         f"{v}_{agg}" for v in ("heartrate", "meanbp", "resprate", "tempc") for agg in ("max", "min")
     ]
@@ -185,10 +294,13 @@ def oasis_cohort(
         )
         .join(patients.select("subject_id", "dob"), "subject_id")
         .join(surgical.select("icustay_id", "surgical"), "icustay_id", "left")
-        .join(gcs.select("icustay_id", "mingcs"), "icustay_id", "left")
-        .join(vitals.select("icustay_id", *vital_columns), "icustay_id", "left")
-        .join(urine.select("icustay_id", "urineoutput"), "icustay_id", "left")
-        .join(vent.select("icustay_id", F.col("vent").alias("mechvent")), "icustay_id", "left")
+        .join(
+            concepts.select(
+                "icustay_id", "mingcs", *vital_columns, "urineoutput", F.col("vent").alias("mechvent")
+            ),
+            "icustay_id",
+            "left",
+        )
     )
     years = F.datediff("intime", "dob").cast("double") / C.YEAR_SEVERITY
     elective = (
