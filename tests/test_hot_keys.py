@@ -13,6 +13,7 @@ from wardframe.operators.skew import (
     measure_hot_keys,
     split_hot,
     with_slices,
+    with_slices_of,
 )
 
 START = datetime(2024, 1, 1)
@@ -68,9 +69,14 @@ def test_sliding_frames_have_their_own_bound(events, hot):
     )
 
 
-def test_shifted_cuts_stay_sorted(hot):
-    for r in hot.shifted_back(["6 HOURS", "2 DAYS"]).cuts.collect():
-        assert r["_cuts"] == sorted(set(r["_cuts"]))
+def test_slices_of_several_times_count_the_cuts_before_each(events, hot):
+    times = {"now": F.col("t"), "ago": F.col("t") - F.expr("INTERVAL 6 HOURS")}
+    cuts = {(r["subject_id"], r["hadm_id"]): r["_cuts"] for r in hot.cuts.collect()}
+    assert all(c == sorted(set(c)) and len(c) < 2**hot.bits for c in cuts.values())
+    for r in with_slices_of(events, times, hot).collect():
+        own = cuts.get((r["subject_id"], r["hadm_id"]), [])
+        assert r["now"] == sum(c <= r["t"] for c in own)
+        assert r["ago"] == sum(c <= r["t"] - timedelta(hours=6) for c in own)
 
 
 @pytest.mark.parametrize("peers", [True, False])

@@ -18,7 +18,7 @@ are a written table once measured.
 from __future__ import annotations
 
 import inspect
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce, wraps
 
@@ -34,7 +34,8 @@ SLIDING_ROWS = 100_000  # the same for sliding frames, where every row visits it
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Cut points per hot key: ``cuts`` has the key columns, ``_rows`` and a sorted array ``_cuts``.
+    """Cut points per hot key: ``cuts`` has the key columns, ``_rows`` and a sorted array ``_cuts`` of less
+    than ``2**bits`` times.
 
     Keys with more than ``max_rows`` rows are hot for every job, the others listed only for
     sliding frames. The rows at hand can be of listed keys ``alone`` (see ``keys_apart``).
@@ -45,6 +46,7 @@ class HotKeys:
     largest: int
     max_rows: int
     alone: bool = False
+    bits: int = 30
 
     def for_scans(self) -> HotKeys | None:
         """The keys that are hot for jobs without sliding frames."""
@@ -54,12 +56,6 @@ class HotKeys:
             return None
         return replace(self, cuts=self.cuts.where(F.col("_rows") > self.max_rows))
 
-    def shifted_back(self, widths: Sequence[str]) -> HotKeys:
-        """Add every cut moved back by each width, to bound rows looked up that much earlier."""
-        moved = [F.expr(f"transform(_cuts, c -> c - INTERVAL {width})") for width in widths]
-        both = F.array_sort(F.array_distinct(F.concat("_cuts", *moved)))
-        return replace(self, cuts=self.cuts.withColumn("_cuts", both))
-
 
 def not_null(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
@@ -117,14 +113,17 @@ def measure_hot_keys(
         .groupBy(*keys)
         .agg(F.array_sort(F.collect_list("_from")).alias("_cuts"))
     )
-    cuts = join_on(hot, cuts, keys, "inner")
-    return HotKeys(tuple(keys), pin(cuts), largest, max_rows)
+    cuts = pin(join_on(hot, cuts, keys, "inner"))
+    most = cuts.agg(F.max(F.size("_cuts"))).first()[0] or 0
+    return HotKeys(tuple(keys), cuts, largest, max_rows, bits=most.bit_length())
 
 
-def _slice_of(t: Column) -> Column:
+def _slice_of(t: Column, bits: int) -> Column:
     """Number of cuts at or before ``t``, by binary search in the sorted array ``_cuts``."""
-    steps = F.array(*[F.lit(2**p) for p in range(29, -1, -1)])
     cuts = F.col("_cuts")
+    if not bits:
+        return F.lit(0)
+    steps = F.array(*[F.lit(2**p) for p in range(bits - 1, -1, -1)])
     found = F.aggregate(
         steps,
         F.lit(0),
@@ -134,14 +133,19 @@ def _slice_of(t: Column) -> Column:
 
 
 def with_slices(df: DataFrame, t: str, hot: HotKeys) -> DataFrame:
-    """Add ``_slice``, 0 for keys that are not hot.
+    """Add ``_slice``, 0 for keys that are not hot."""
+    return with_slices_of(df, {SLICE: F.col(t)}, hot)
+
+
+def with_slices_of(df: DataFrame, times: Mapping[str, Column], hot: HotKeys) -> DataFrame:
+    """Add the slice that each time falls into, by name; 0 for keys that are not hot.
 
     Spark broadcasts the cuts if they are under its own size threshold; beyond that it splits the
     hot side of the join, which has one row per key on the other.
     """
     return (
         join_on(df, hot.cuts, hot.keys, "left")
-        .withColumn(SLICE, _slice_of(F.col(t)))
+        .withColumns({name: _slice_of(t, hot.bits) for name, t in times.items()})
         .drop("_cuts", "_rows")
     )
 

@@ -20,6 +20,7 @@ from wardframe.operators.skew import (
     not_null,
     pin,
     with_slices,
+    with_slices_of,
 )
 
 _RUNNING = {
@@ -203,13 +204,19 @@ def _rolling_plain(df, keys, t, specs):
     )
 
 
+_FIRST, _LAST = "0001-01-01", "9999-12-31"  # before and after all times
+
+
 def _rolling_tiled(df, keys, t, specs, hot):
     """The same range aggregates from two running ones each, which slices can split.
 
     With time tiles as wide as the range, ``[t - width, t]`` is the part of t's tile up to t and
     the part of the tile before it from ``t - width`` on. Both are linear in the rows, while a
-    sliding frame visits all its rows at every row. Rows are combined per instant first, all
-    widths go through the same two steps, and the results join back on the instant.
+    sliding frame visits all its rows at every row. Rows are combined per instant first and written once, with the
+    slices of t and of every ``t - width``. Then the instants, and a lookup for each at ``t - width``, of all
+    widths are dealt by tile and slice together; what earlier and later slices of a tile add stands before
+    and after the rows of each slice, so one running aggregate in either direction gives both parts. They
+    meet again per instant.
     """
     widths = list(dict.fromkeys(width for *_, width in specs.values()))
     partials = {pair: f"_a{i}" for i, pair in enumerate(dict.fromkeys(s[:2] for s in specs.values()))}
@@ -218,54 +225,64 @@ def _rolling_tiled(df, keys, t, specs, hot):
     instants = df.groupBy(*keys, t).agg(
         *[_RUNNING[fn][0](F.col(c)).alias(name) for (fn, c), name in partials.items()]
     )
+    slices = {SLICE: F.col(t), **{f"_p{i}": F.col(t) - interval(w) for i, w in enumerate(widths)}}
+    placed = pin(with_slices_of(instants, slices, hot))
     for i, width in enumerate(widths):
-        instants = instants.withColumn(f"_tile{i}", F.window(t, width).start)
-    per_width = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(i).alias("w"),
-                    F.col(f"_tile{i}").alias("tile"),
-                    (F.col(f"_tile{i}") - interval(width)).alias("tile_before"),
-                    (F.col(t) - interval(width)).alias("since"),
-                )
-                for i, width in enumerate(widths)
-            ]
-        )
+        placed = placed.withColumn(f"_tile{i}", F.window(t, width).start)
+
+    group = [*keys, "_w", "_tile", SLICE]
+    here = F.array(
+        *[F.struct(F.lit(i).alias("_w"), F.col(f"_tile{i}").alias("_tile")) for i in range(len(widths))]
     )
-    data = pin(
-        instants.withColumn("_x", per_width).select(
-            *keys, F.col("_x.w").alias("_w"), F.col("_x.tile").alias("_tile"),
-            F.col("_x.tile_before").alias("_before"), F.col("_x.since").alias("_since"),
-            F.col(t).alias("_at"), *partials.values(),
-        )
-    )
-    group = [*keys, "_w", "_tile"]
-    upto = running(data, group, ["_at"], {f"{n}_upto": (fn, n) for n, fn in merged.items()}, hot)
-    lookups = upto.select(
-        *keys,
-        "_w",
-        F.col("_before").alias("_tile"),
-        F.col("_since").alias("_at"),
-        F.struct(F.col("_at").alias(t), *[f"{n}_upto" for n in merged]).alias("_row"),
+    there = F.array(
+        *[
+            F.struct(
+                F.lit(i).alias("_w"),
+                (F.col(f"_tile{i}") - interval(width)).alias("_tile"),
+                F.col(f"_p{i}").alias(SLICE),
+                (F.col(t) - interval(width)).alias("_at"),
+            )
+            for i, width in enumerate(widths)
+        ]
     )
-    stacked = data.select(*group, "_at", *merged).unionByName(lookups, allowMissingColumns=True)
-    since = running(
-        stacked,
-        group,
-        ["_at"],
-        {f"{n}_since": (fn, n) for n, fn in merged.items()},
-        hot.shifted_back(widths),
-        descending=True,
-    ).where(F.col("_row").isNotNull())
-    ranges = since.groupBy(*keys, F.col(f"_row.{t}").alias(t)).agg(
+    data = placed.select(
+        *keys, F.inline(here), SLICE, F.col(t).alias("_at"), F.col(t).alias("_of"),
+        F.lit(0).alias("_kind"), *merged,
+    )
+    lookups = placed.select(*keys, F.inline(there), F.col(t).alias("_of"), F.lit(1).alias("_kind"))
+    rows = data.unionByName(lookups, allowMissingColumns=True)
+
+    # Slices of a tile that rows or lookups fall into, and what the others before and after them hold.
+    by_slice = W.partitionBy(*keys, "_w", "_tile").orderBy(SLICE)
+    earlier = by_slice.rowsBetween(W.unboundedPreceding, -1)
+    later = by_slice.rowsBetween(1, W.unboundedFollowing)
+    totals = rows.groupBy(*group).agg(*[_RUNNING[fn][0](F.col(n)).alias(n) for n, fn in merged.items()])
+    edges = [
+        totals.select(
+            *group,
+            F.lit(at).cast(df.schema[t].dataType).alias("_at"),
+            F.lit(2).alias("_kind"),
+            *[_RUNNING[fn][0](F.col(n)).over(w).alias(n) for n, fn in merged.items()],
+        )
+        for at, w in ((_FIRST, earlier), (_LAST, later))
+    ]
+    for edge in edges:
+        rows = rows.unionByName(edge, allowMissingColumns=True)
+
+    def run(direction) -> dict[str, Column]:
+        w = W.partitionBy(*group).orderBy(direction("_at"))
+        kind = "upto" if direction is F.asc else "since"
+        return {f"{n}_{kind}": _RUNNING[fn][0](F.col(n)).over(w) for n, fn in merged.items()}
+
+    ran = rows.withColumns({**run(F.asc), **run(F.desc)}).where(F.col("_kind") < 2)
+
+    def part(kind: int, width: str, column: str) -> Column:
+        wanted = (F.col("_kind") == kind) & (F.col("_w") == widths.index(width))
+        return F.max(F.when(wanted, F.col(column)))
+
+    ranges = ran.groupBy(*keys, F.col("_of").alias(t)).agg(
         *[
-            F.max(
-                F.when(
-                    F.col("_w") == widths.index(width),
-                    _RUNNING[merged[n]][1](F.col(f"_row.{n}_upto"), F.col(f"{n}_since")),
-                )
-            ).alias(out)
+            _RUNNING[merged[n]][1](part(0, width, f"{n}_upto"), part(1, width, f"{n}_since")).alias(out)
             for out, (fn, c, width) in specs.items()
             for n in [partials[(fn, c)]]
         ]
