@@ -1,6 +1,7 @@
 """Reading, writing, loading and auditing tables."""
 
 import gzip
+import random
 from datetime import datetime
 
 import pytest
@@ -136,3 +137,61 @@ def test_materialize_is_keyed_by_its_parameters(spark):
         got = tables.materialize(spark, "stage_test.s", lambda: build(n), recreate, method="median")
     assert built == [1, 3] and got.count() == 3
     assert tables.materialize(spark, "stage_test.s", lambda: build(5), method="first").count() == 5
+
+
+@pytest.fixture
+def small_splits(spark):
+    """Files of a few lines are read by many tasks."""
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    yield lambda size: spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    for k, v in kept.items():
+        spark.conf.set(k, v)
+
+
+def quoted_file(rng, rows, newline):
+    """CSV with random breaks, quotes and commas in fields, quoted where needed and sometimes where not."""
+    lines = ["id,a,b"]
+    for k in range(rows):
+        fields = []
+        for _ in range(2):
+            text = "".join(rng.choices(["x", "yz", " ", ",", '"', "\n", "\n\n", "\r\n", "é"], k=rng.randrange(8)))
+            quote = any(c in text for c in ',"\n\r') or text != text.strip() or rng.random() < 0.3
+            fields.append('"' + text.replace('"', '""') + '"' if quote and text else text)
+        lines.append(f"{k},{fields[0]},{fields[1]}")
+    return newline.join(lines) + newline
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_records_with_breaks_are_read_in_splits(spark, folder, small_splits, seed):
+    rng = random.Random(seed)
+    (folder / "many").mkdir()
+    newline = "\r\n" if seed == 3 else "\n"
+    for k in range(2):
+        (folder / "many" / f"{k}.csv").write_bytes(quoted_file(rng, 60, newline).encode())
+    ddl = "id int, a string, b string"
+    want = csv.read_table(spark, str(folder / "many"), ddl, multi_line=True, whole_files=True).collect()
+    for size in (40, 300, 1 << 20):
+        small_splits(size)
+        got = csv.read_table(spark, str(folder / "many"), ddl, multi_line=True)
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want)) and len(want) == 120
+    small_splits(40)
+    assert spark.read.option("lineSep", "\n").text(str(folder / "many")).rdd.getNumPartitions() > 20
+
+
+def test_a_record_over_many_splits(spark, folder, small_splits):
+    long = "\n".join(f'line {k}, ""quoted""' for k in range(200))
+    path = put(folder / "long.csv", f'ID,A,B\n1,"{long}",x\n\n2,"",y\n3,"{long}","{long}"')
+    small_splits(64)
+    got = {r["id"]: (r["a"], r["b"]) for r in csv.read_table(spark, path, "id int, a string, b string", multi_line=True).collect()}
+    text = long.replace('""', '"')
+    assert got == {1: (text, "x"), 2: (None, "y"), 3: (text, text)}
+
+
+def test_splits_refuse_other_headers_and_malformed_records(spark, folder, small_splits):
+    small_splits(16)
+    for name, content in (("h", "A,ID,B\n1,x,y\n"), ("n", 'ID,A,B\none,"x\ny",z\n'), ("c", 'ID,A,B\n1,"x\ny"\n'), ("q", 'ID,A,B\n1,x"y,z\n2,a,b\n')):
+        with pytest.raises(Exception):
+            csv.read_table(spark, put(folder / f"{name}.csv", content), "id int, a string, b string", multi_line=True).collect()
+    empty = csv.read_table(spark, put(folder / "e.csv", "ID,A,B\n"), "id int, a string, b string", multi_line=True)
+    assert empty.collect() == []
