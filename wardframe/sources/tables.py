@@ -7,11 +7,12 @@ import time
 import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from wardframe.session import remove, shared_folder
+from wardframe.sources.audit import content_sums
 from wardframe.sources.csv import read_table
-from wardframe.sources.schemas import BUCKET_KEYS, BUCKET_SORT, BUCKETS, CCS, CLINICAL
+from wardframe.sources.schemas import BUCKET_KEYS, BUCKET_SORT, BUCKETS, CCS, CLINICAL, struct
 
 
 BUCKET_BYTES = 256 << 20  # of files; a bucket is one task of the jobs that read it
@@ -40,9 +41,12 @@ def write_bucketed(
     mode: str = "overwrite",
     path: str | None = None,
     tasks_per_bucket: int = 4,
+    watch: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """Persist as a table bucketed by all of ``by`` together, sorted within each bucket.
 
+    ``watch`` gets the rows as the last stage writes them.
+
     Rows are gathered by bucket first, each bucket in ``tasks_per_bucket`` tasks by the hash of the
     whole row: so there are at most that many files per bucket, however many tasks read the
     input, and a hot key is written by several tasks. Without ``n`` the rows are written to the shared folder first, and
@@ -56,7 +60,7 @@ def write_bucketed(
         df = spark.read.schema(df.schema).parquet(scratch)
     bucket = F.pmod(F.hash(*by), F.lit(n))  # the hash that bucketing uses
     part = F.pmod(F.xxhash64(*df.columns), F.lit(tasks_per_bucket))
-    df = df.repartition(n * tasks_per_bucket, bucket, part)
+    df = watch(df.repartition(n * tasks_per_bucket, bucket, part))
     writer = df.write.format(fmt).mode(mode).bucketBy(n, *by)
     if sort:
         writer = writer.sortBy(*sort)
@@ -81,6 +85,7 @@ def _load(
     buckets: int,
     file_name: Callable[[str], str],
     with_breaks: Iterable[str] = (),
+    sums: dict[str, dict] | None = None,
 ) -> list[str]:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
     loaded = []
@@ -88,13 +93,18 @@ def _load(
         path = f"{src}/{file_name(table)}.csv"
         df = read_table(spark, path, registry[table], gz, partitions, table in with_breaks)
         name = f"{db}.{table}"
+        # Watched in the stage that writes: there a task counts once, however often it runs.
+        watched, metrics = Observation(), content_sums(struct(registry[table]))
+        watch = (lambda rows: rows.observe(watched, *metrics)) if sums is not None else (lambda rows: rows)
         if table in BUCKET_SORT:
             write_bucketed(
-                df, name, BUCKET_KEYS, buckets, BUCKET_SORT[table], fmt or "orc", mode
+                df, name, BUCKET_KEYS, buckets, BUCKET_SORT[table], fmt or "orc", mode, watch=watch
             )
         else:
-            writer = df.write.mode(mode)
+            writer = watch(df).write.mode(mode)
             (writer.format(fmt) if fmt else writer).saveAsTable(name)
+        if sums is not None:
+            sums[table] = watched.get
         loaded.append(name)
     return loaded
 
@@ -110,15 +120,20 @@ def load_catalog(
     partitions: int | None = None,
     buckets: int = BUCKETS,
     with_breaks: Iterable[str] = ("noteevents",),
+    sums: dict[str, dict] | None = None,
 ) -> list[str]:
     """Load the clinical tables (files named like the table, in capitals) into a database.
 
-    Files are read in splits; ``with_breaks`` names the tables whose fields may hold line breaks,
-    which are read file by file.
+    Files are read in splits; ``with_breaks`` names the tables whose fields may hold line breaks. ``sums``, if
+    given, gets the content sums of each table (see ``audit``), gathered while it is written. With
+    ``mode="ignore"`` a table that is there already is not written, so it has none.
     """
+    if mode == "ignore":
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
+        tables = [t for t in (tables or CLINICAL) if not spark.catalog.tableExists(f"{db}.{t}")]
     with_breaks = set(with_breaks)
     return _load(
-        spark, CLINICAL, src, db, mode, fmt, tables, gz, partitions, buckets, str.upper, with_breaks
+        spark, CLINICAL, src, db, mode, fmt, tables, gz, partitions, buckets, str.upper, with_breaks, sums
     )
 
 
