@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
+
+from pyspark.sql import functions as F
 
 from wardframe.checks import concept_queries as concepts, expected_values as V
 from wardframe.checks.registry import STEPS, in_list, query
 from wardframe.checks.role_views import Roles
 from wardframe.functions import codes as C
-from wardframe.plans import anemia, kidney, labels as L
+from wardframe.plans import anemia, extract, kidney, labels as L
+from wardframe.session import shared_folder
+from wardframe.sources import csv
 
 KEY = "subject_id, hadm_id"
 
@@ -175,3 +179,57 @@ for _c in ("aki", "aki_creatinine", "anemia", "pi"):
         f"SELECT {KEY} FROM st_labels_{_c} WHERE NOT note_dx AND NOT table_dx AND NOT icd_dx",
         lambda s: L.control_cohort(L.labels_of(s)),
     )
+
+
+# --- the exported files, read back --------------------------------------------------------------
+
+EXPORTED = {  # columns of a file as it is written
+    "labels": "subject_id bigint, hadm_id bigint, note_dx boolean, table_dx boolean, icd_dx boolean",
+    "distribution": "note_dx boolean, table_dx boolean, icd_dx boolean, num_hadms bigint, percent double",
+    "onsets": "subject_id bigint, hadm_id bigint, timestamp timestamp_ntz, label int",
+    "times": "subject_id bigint, hadm_id bigint, timestamp timestamp_ntz",
+    "admissions": "subject_id bigint, hadm_id bigint",
+}
+
+
+def _files(condition: str) -> dict[str, tuple[str, str]]:
+    """Kind and SQL of each of a condition's ten files."""
+    acquired, anyway, level, controls = extract.NAMES[condition]
+    of = "fast_" if condition == "aki" else ""
+    labels, any_time = f"st_labels_{condition}", f"st_any_labels_{condition}"
+    positive = f"""SELECT {KEY}, min("timestamp") AS "timestamp", 1 AS label FROM st_{of}adults
+      JOIN (SELECT * FROM st_onset_notes_{condition} UNION ALL SELECT * FROM st_onset_table_{condition}) USING ({KEY})
+      WHERE "timestamp" IS NOT NULL GROUP BY {KEY}"""
+    return {
+        f"{acquired}_label_details": ("labels", f"SELECT * FROM {labels}"),
+        f"{acquired}_label_dist": ("distribution", distribution_sql(labels)),
+        f"{anyway}_{level}": ("onsets", onset_sql(f"st_running_{condition}") + " HAVING subject_id + hadm_id IS NOT NULL"),
+        f"{acquired}_{level}": ("onsets", onset_sql(f"st_acquired_{condition}") + " HAVING subject_id + hadm_id IS NOT NULL"),
+        f"{acquired}_positive_note_labels": ("times", f"SELECT * FROM st_onset_notes_{condition}"),
+        f"{acquired}_positive_table_labels": ("times", f"SELECT * FROM st_onset_table_{condition}"),
+        f"{acquired}_positive_labels": ("onsets", positive),
+        f"{anyway}_label_dist": ("distribution", distribution_sql(any_time)),
+        f"{acquired}_hadms": ("admissions", f"SELECT {KEY} FROM {labels} WHERE note_dx OR table_dx"),
+        f"{controls}_hadms": ("admissions", f"SELECT {KEY} FROM {any_time} WHERE NOT (note_dx OR table_dx OR icd_dx)"),
+    }
+
+
+def _exported(r: Roles, condition: str):
+    files, folder = _files(condition), shared_folder(r.spark)
+    written = extract.export_condition(spec(r, condition), folder)
+    assert [p.rsplit("/", 1)[1].removesuffix(".csv") for p in written] == list(files)
+    read = [
+        csv.read_table(r.spark, path, EXPORTED[kind]).withColumn("file", F.lit(name))
+        for path, (name, (kind, _)) in zip(written, files.items())
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), read)
+
+
+for _c in ("aki", "anemia", "pi"):
+    query(
+        f"s6_export_{_c}",
+        " UNION ALL BY NAME ".join(
+            f"SELECT *, '{name}' AS file FROM ({sql})" for name, (_, sql) in _files(_c).items()
+        ),
+        staged=True,
+    )(partial(_exported, condition=_c))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wardframe.functions import codes as C
 from wardframe.operators.cohort import KEYS
-from wardframe.operators.skew import measure_hot_keys
+from wardframe.operators.skew import measure_hot_keys, pin
 from wardframe.plans import anemia, demographics, kidney, labels as L, pressure, severity
 from wardframe.plans import ventilation
 from wardframe.sources.csv import export_csv, read_note_labels
@@ -193,32 +193,34 @@ NAMES = {
 }
 
 
-def export_condition(
-    spec: L.ConditionSpec, folder: str, single_file: bool = False, acquired_controls: bool = False
-) -> list[str]:
-    """Write every result of a condition as CSV with a header; returns the paths."""
+def results_of(spec: L.ConditionSpec, acquired_controls: bool = False) -> dict[str, DataFrame]:
+    """Every result of a condition by file name, all from one written table with a row per admission."""
     acquired, anyway, level, controls = NAMES[spec.name]
-    labels = L.labels_of(spec).persist()
-    any_time = L.labels_of(spec, acquired=False).persist()
+    found = pin(L.evidence(spec))
+    labels, any_time = L.labels_from(found), L.labels_from(found, acquired=False)
     ordered = [*KEYS, "timestamp"]
-    results = {
+    return {
         f"{acquired}_label_details": labels,
         f"{acquired}_label_dist": L.label_distribution(labels),
-        f"{anyway}_{level}": L.stage_onsets(spec).orderBy(*ordered),
-        f"{acquired}_{level}": L.acquired_stage_onsets(spec).orderBy(*ordered),
-        f"{acquired}_positive_note_labels": L.positive_note_onsets(spec),
-        f"{acquired}_positive_table_labels": L.positive_table_onsets(spec),
-        f"{acquired}_positive_labels": L.positive_onsets(spec),
+        f"{anyway}_{level}": L.onsets_from(found).orderBy(*ordered),
+        f"{acquired}_{level}": L.onsets_from(found, acquired=True).orderBy(*ordered),
+        f"{acquired}_positive_note_labels": L.positive_from(found, "note"),
+        f"{acquired}_positive_table_labels": L.positive_from(found, "table"),
+        f"{acquired}_positive_labels": L.positive_onsets_from(found),
         f"{anyway}_label_dist": L.label_distribution(any_time),
         f"{acquired}_hadms": L.case_cohort(labels),
         f"{controls}_hadms": L.control_cohort(labels if acquired_controls else any_time),
     }
+
+
+def export_condition(
+    spec: L.ConditionSpec, folder: str, single_file: bool = False, acquired_controls: bool = False
+) -> list[str]:
+    """Write every result of a condition as CSV with a header; returns the paths."""
     paths = []
-    for name, result in results.items():
+    for name, result in results_of(spec, acquired_controls).items():
         paths.append(f"{folder.rstrip('/')}/{name}.csv")
         export_csv(result, paths[-1], single_file)
-    labels.unpersist()
-    any_time.unpersist()
     return paths
 
 

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from wardframe.operators.cohort import KEYS, first_onset, keep_acquired
+from wardframe.operators.cohort import KEYS, first_onset, keep_acquired, on_admission
 from wardframe.operators.skew import not_null
 
 
@@ -26,6 +26,7 @@ class ConditionSpec:
     admissions: DataFrame  # subject_id, hadm_id, admittime
     adults: DataFrame  # subject_id, hadm_id
     poa_hours: int = 48
+    levels: int = 4  # highest stage
 
 
 def _notes_per_admission(spec: ConditionSpec) -> DataFrame:
@@ -148,3 +149,81 @@ def case_cohort(labels: DataFrame) -> DataFrame:
 def control_cohort(labels: DataFrame) -> DataFrame:
     """Admissions without evidence; give any-time labels, or present-on-admission cases slip in."""
     return labels.where(~F.col("note_dx") & ~F.col("table_dx") & ~F.col("icd_dx")).select(*KEYS)
+
+
+# --- all results from one table -----------------------------------------------------------------
+
+
+def evidence(spec: ConditionSpec) -> DataFrame:
+    """One row per admission with everything its results need, each source aggregated once.
+
+    Columns: ``adult``, ``icd``; ``note`` and ``note_first``, ``table`` and ``table_first`` (any positive, and the first);
+    ``note_early`` and ``table_early`` (present on admission); and ``onset_1`` up to ``onset_<levels>``, when a stage was
+    first noted. Every adult admission has a row, others if they have any evidence.
+    """
+    stage, t = F.col(spec.stage_col), F.col("charttime")
+    beyond = F.raise_error(F.lit(f"{spec.name} has stages above {spec.levels}")).cast("boolean")
+    notes = _notes_per_admission(spec).select(
+        *KEYS, F.col("label").alias("note"), F.col("first_positive").alias("note_first")
+    )
+    stages = (
+        spec.stages.where(not_null([*KEYS, "charttime", spec.stage_col]))
+        .groupBy(*KEYS)
+        .agg(
+            F.when(F.max(stage) <= spec.levels, F.max(stage) >= 1).otherwise(beyond).alias("table"),
+            F.min(F.when(stage >= 1, t)).alias("table_first"),
+            *[F.min(F.when(stage == k, t)).alias(f"onset_{k}") for k in range(1, spec.levels + 1)],
+        )
+    )
+    icd = spec.icd_flag.where(not_null(KEYS)).select(*KEYS, F.col("label").alias("icd"))
+    adults = spec.adults.where(not_null(KEYS)).select(*KEYS).distinct().withColumn("adult", F.lit(True))
+    found = adults
+    for part in (notes, stages, icd):
+        found = found.join(part, KEYS, "full")
+    found = found.join(spec.admissions.select(*KEYS, "admittime"), KEYS, "left")
+    for kind in ("note", "table"):
+        early = on_admission(f"{kind}_first", spec.poa_hours)
+        found = found.withColumn(f"{kind}_early", F.coalesce(early, F.lit(False)))
+    return found.withColumns(
+        {c: F.coalesce(c, F.lit(False)) for c in ("adult", "note", "table", "icd")}
+    ).drop("admittime")
+
+
+def labels_from(found: DataFrame, acquired: bool = True) -> DataFrame:
+    """``labels_of`` from the evidence table."""
+
+    def dx(kind: str):
+        counts = F.col(kind) & ~F.col(f"{kind}_early") if acquired else F.col(kind)
+        return counts.alias(f"{kind}_dx")
+
+    return found.where("adult").select(*KEYS, dx("note"), dx("table"), F.col("icd").alias("icd_dx"))
+
+
+def onsets_from(found: DataFrame, acquired: bool = False) -> DataFrame:
+    """``stage_onsets``, or ``acquired_stage_onsets``, from the evidence table: a level counts if it is
+    reached before any higher one."""
+    levels = sorted(int(c.removeprefix("onset_")) for c in found.columns if c.startswith("onset_"))
+    reached = []
+    for k in levels:
+        t, higher = F.col(f"onset_{k}"), [f"onset_{j}" for j in levels if j > k]
+        before = F.least(*higher) if len(higher) > 1 else F.col(higher[0]) if higher else None
+        counts = F.lit(True) if before is None else before.isNull() | (t < before)
+        reached.append(F.struct(F.when(counts, t).alias("timestamp"), F.lit(k).alias("label")))
+    rows = found.where(~F.col("table_early")) if acquired else found
+    onsets = rows.select(*KEYS, F.inline(F.array(*reached)))
+    return onsets.where(F.col("timestamp").isNotNull())
+
+
+def positive_from(found: DataFrame, kind: str) -> DataFrame:
+    """``positive_note_onsets`` (``note``) or ``positive_table_onsets`` (``table``) from the evidence table."""
+    rows = found.where(F.col(kind) & ~F.col(f"{kind}_early"))
+    return rows.select(*KEYS, F.col(f"{kind}_first").alias("timestamp"))
+
+
+def positive_onsets_from(found: DataFrame) -> DataFrame:
+    """``positive_onsets`` from the evidence table."""
+    first = F.least(
+        *[F.when(F.col(k) & ~F.col(f"{k}_early"), F.col(f"{k}_first")) for k in ("note", "table")]
+    )
+    rows = found.where("adult").select(*KEYS, first.alias("timestamp"), F.lit(1).alias("label"))
+    return rows.where(F.col("timestamp").isNotNull())
