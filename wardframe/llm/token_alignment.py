@@ -18,7 +18,9 @@ their names, stay in ``record``.
 
 from __future__ import annotations
 
+import base64
 import hashlib
+import json
 import re
 from collections.abc import Iterator, Sequence
 from functools import cached_property
@@ -32,15 +34,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wardframe.llm.byte_level import spelled
 from wardframe.llm.common import Stages, per_row, table
-from wardframe.llm.tokens import MOST_PIECES, Encoder, vocabulary
+from wardframe.llm.tokens import OTHER, vocabulary
 
 SEGMENT = 1 << 20  # characters worked on at once, and more only without a place to cut
 BLOCK_PAIRS = 2_000_000  # linked pairs of the documents of a block
 MOST_LINKS = 1 << 16  # links of a group that are listed one by one
-KEPT_CHARACTERS = 100  # of a chunk whose ids are kept
 
 CUT = re.compile(r"(?<=\S)(?= )")
-CHUNKS = re.compile(" *[^ ]+| +")
 
 
 class Files(NamedTuple):
@@ -51,12 +51,23 @@ class Files(NamedTuple):
     b: str
 
 
-class PlainEncoder(Encoder):
-    """Byte-level ids of a text in which the strings of special tokens are plain text."""
+class ByteEncoder:
+    """Byte-level ids of a text in which the strings of special tokens are plain text.
+
+    ``tiktoken`` merges by the rank file of the same vocabulary; a text with characters that it may split in
+    another way, and any text where there is no rank file, goes through the tokenizer itself.
+    """
 
     def __init__(self, tokenizer_file: str, ranks_file: str | None):
-        super().__init__(tokenizer_file, ranks_file)
-        self.special = []
+        self.file, self.ranked = tokenizer_file, None
+        if ranks_file:
+            import public_tokenizers
+            import tiktoken
+
+            with open(ranks_file, "rb") as f:
+                ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+            own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+            self.ranked = own.encode_to_numpy
 
     @cached_property
     def whole(self):
@@ -69,18 +80,21 @@ class PlainEncoder(Encoder):
     @cached_property
     def token_bytes(self) -> list[bytes]:
         """The bytes of each id."""
-        vocab = self.whole.get_vocab(with_added_tokens=False)
+        with open(self.file, encoding="utf-8") as f:
+            vocab = json.load(f)["model"]["vocab"]
         out = [b""] * (max(vocab.values()) + 1)
         for token, k in vocab.items():
             out[k] = spelled(token)
         return out
 
+    def ids(self, text: str) -> np.ndarray:
+        if self.ranked and not OTHER.search(text):
+            return self.ranked(text, disallowed_special=()).astype(np.int64)
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.int64)
 
-class PieceEncoder(dict):
-    """Ids of sentencepiece for space+text, kept per chunk: spaces and the characters up to the next space.
 
-    No piece of the vocabulary has a space after another character, so chunks don't affect each other.
-    """
+class PieceEncoder:
+    """Ids of sentencepiece for space+text; the model adds the space by itself, to any text but the empty one."""
 
     def __init__(self, model_file: str):
         import sentencepiece
@@ -88,60 +102,37 @@ class PieceEncoder(dict):
         self.model = sentencepiece.SentencePieceProcessor(model_file=model_file)
         pieces = [self.model.id_to_piece(k) for k in range(self.model.get_piece_size())]
         self.token_bytes = [bytes([int(p[3:-1], 16)]) if self.model.is_byte(k) else p.replace("▁", " ").encode() for k, p in enumerate(pieces)]
-        self.chunked = all(re.fullmatch("▁*[^▁]*", p, re.DOTALL) for p in pieces)
+        # Without a piece that goes on after a space, texts can be cut before spaces that follow a character.
+        self.cuttable = all(re.fullmatch("▁*[^▁]*", p, re.DOTALL) for p in pieces)
         self.space = self.model.piece_to_id("▁")
 
-    def encoded(self, chunk: str) -> bytes:
-        """Ids of a chunk that starts with a space, which the model adds by itself; b'' if they don't spell it."""
-        ids = self.model.encode(chunk[1:]) if len(chunk) > 1 else [self.space]
-        spelled = b"".join(self.token_bytes[k] for k in ids) == chunk.encode()
-        return np.array(ids, "<u4").tobytes() if spelled else b""
-
-    def __missing__(self, chunk: str) -> bytes:
-        found = self.encoded(chunk)
-        if len(chunk) <= KEPT_CHARACTERS:
-            if len(self) >= MOST_PIECES:
-                self.clear()
-            self[chunk] = found
-        return found
-
-    def ids(self, spaced: str) -> bytes | None:
-        """None if the tokens don't spell the text."""
-        if not self.chunked:
-            return self.encoded(spaced) or None
-        found = list(map(self.__getitem__, CHUNKS.findall(spaced)))
-        return b"".join(found) if all(found) else None
+    def ids(self, spaced: str) -> np.ndarray:
+        return np.array(self.model.encode(spaced[1:]) if len(spaced) > 1 else [self.space], np.int64)
 
 
 class Aligner:
     """Both tokenizers of a worker process and the tables that describe their ids."""
 
     def __init__(self, files: Files):
-        self.a, self.b = PlainEncoder(files.a, files.a_ranks), PieceEncoder(files.b)
-        spelled_a, spelled_b = self.a.token_bytes, self.b.token_bytes
-        self.length_a = np.fromiter(map(len, spelled_a), np.int64, len(spelled_a))
-        self.length_b = np.fromiter(map(len, spelled_b), np.int64, len(spelled_b))
-        self.width = len(spelled_b)  # pair = a * width + b
-        written = [f"{k}{end}".encode() for n, ends in ((len(spelled_a), ",|"), (len(spelled_b), ",;")) for end in ends for k in range(n)]
+        self.a, self.b = ByteEncoder(files.a, files.a_ranks), PieceEncoder(files.b)
+        self.bytes_a, self.bytes_b = (np.array(x.token_bytes, dtype=object) for x in (self.a, self.b))
+        self.length_a, self.length_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (self.bytes_a, self.bytes_b))
+        self.width = len(self.bytes_b)  # pair = a * width + b
+        written = [f"{k}{end}".encode() for n, ends in ((len(self.bytes_a), ",|"), (self.width, ",;")) for end in ends for k in range(n)]
         self.written = np.array(written, dtype=object)
 
     def segments(self, text: str | None) -> list[tuple[np.ndarray, np.ndarray]] | None:
         """Ids of A and B of each segment of space+text; None if the text has no tokens."""
-        if not text or "▁" in text:
+        if not text:
             return None
         spaced, out, at = " " + text, [], 0
         while at < len(spaced):
             end = len(spaced)
-            if end - at > SEGMENT and (m := CUT.search(spaced, at + SEGMENT)):
+            if self.b.cuttable and end - at > SEGMENT and (m := CUT.search(spaced, at + SEGMENT)):
                 end = m.start()
             part, at = spaced[at:end], end
-            b = self.b.ids(part)
-            if b is None:
-                return None
-            a = np.frombuffer(self.a.ids(part), "<u4").astype(np.int64)
-            b = np.frombuffer(b, "<u4").astype(np.int64)
-            size = len(part.encode())
-            if self.length_a[a].sum() != size or self.length_b[b].sum() != size:
+            a, b, whole = self.a.ids(part), self.b.ids(part), part.encode()
+            if any(b"".join(table[ids].tolist()) != whole for table, ids in ((self.bytes_a, a), (self.bytes_b, b))):
                 return None
             out.append((a, b))
         return out
