@@ -1,4 +1,5 @@
 import random
+import re
 import zlib
 
 import numpy as np
@@ -26,8 +27,22 @@ def test_ids_are_the_tokenizers_own():
     plainer = "ab cZÉßž\n\t.'\"0123's're'LL 'Ve  -–…«»×"
     texts += ["".join(rng.choices(plainer, k=rng.randrange(60))) for _ in range(3000)]
     texts += ["<|endoftext|>", "a <|startoftext|>b", "I'll we've 'tis  X", "   ", "\n\n a", "x_y__z --> ### $$$", "''s 'RE"]
-    for text in texts:
-        assert np.frombuffer(own.ids(text), "<u4").tolist() == own.whole.encode(text, add_special_tokens=False).ids, repr(text)
+    names = [t.removesuffix("</w>") for t in own.whole.get_vocab()]
+    texts += [" ".join("".join(rng.choices(names, k=rng.randrange(1, 4))) for _ in range(20)) for _ in range(1000)]
+    for part in (texts[:500], texts[500:]):
+        for text, ids in zip(part, own.ids(part), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == own.whole.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_words_are_merged_like_the_tokenizer_does(monkeypatch):
+    monkeypatch.setattr(concat_packing, "MOST_WORDS", 2000)  # forgotten now and then
+    own, rng = word_encoder(FILE), random.Random(3)
+    assert own.merged is not None
+    names = [t.removesuffix("</w>") for t in own.whole.get_vocab() if re.fullmatch("[a-z]+(</w>)?", t)]
+    for _ in range(30):
+        texts = [" ".join("".join(rng.choices(names, k=rng.randrange(1, 4))) for _ in range(100)) for _ in range(10)]
+        for text, ids in zip(texts, own.ids(texts), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == own.whole.encode(text, add_special_tokens=False).ids
 
 
 def test_every_id_lies_in_one_piece(documents, stored, spark):

@@ -18,21 +18,24 @@ empty table gives no rows. Other columns of the documents, whatever their names,
 
 from __future__ import annotations
 
+import json
 import re
-import struct
 import zlib
 from collections.abc import Sequence
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from wardframe.llm.byte_level import BYTE_OF, spelled
 from wardframe.llm.common import Stages, per_row, table
-from wardframe.llm.tokens import LETTERS, MOST_PIECES, OTHER, SPACES, vocabulary
+from wardframe.llm.tokens import LETTERS, OTHER, SPACES, vocabulary
 
 SEQUENCE = 4096
 CHUNK = 1 << 20  # ids in a written row
+MOST_WORDS = 300_000  # kept per worker: some 60 MB, and what one slice of texts adds
 BLOCK = 1024  # partitions whose places one window sums
 BROADCAST_ROWS = 200_000  # partitions whose places are sent to all executors, 16 bytes each
 
@@ -40,35 +43,61 @@ WORDS = re.compile(f"'(?:[stmd]|re|ve|ll)|[{LETTERS}]+|[0-9]|[^{SPACES}{LETTERS}
 
 
 class WordEncoder(dict):
-    """Maps a lower-case word, digit or run of marks to its ids; ``ids`` does so for a text.
+    """Ids of texts as little-endian 32-bit numbers; maps a lower-case word, digit or run of marks to its own.
 
-    Words are kept once met. A text with a character that may be normalised, or classed, in another way
-    than here, or with the text of a special token, goes through the tokenizer whole.
+    Words are kept once met, and those that many texts bring are merged in one call by ``tiktoken``, from the
+    tokenizer's own vocabulary: the mark of a word's end is a zero byte after it, which joins the last character first, as those
+    pairs rank before all merges. A text with a character that may be normalised, or classed, in another way than
+    here, or with the text of a special token, goes through the tokenizer itself, and so does every text if the vocabulary's
+    numbers don't follow its merges. Both ways give the same ids.
     """
 
     def __init__(self, tokenizer_file: str):
+        import tiktoken
+
+        self.file, self.merged = tokenizer_file, None
+        with open(tokenizer_file, encoding="utf-8") as f:
+            found = json.load(f)
+        self.special = [t["content"] for t in found["added_tokens"]]
+        end, vocab = found["model"]["end_of_word_suffix"], found["model"]["vocab"]
+        merges = [m if isinstance(m, list) else m.split(" ") for m in found["model"]["merges"]]
+        # tiktoken merges by the number of the result, lowest first.
+        numbers = [vocab[a + b] for a, b in merges]
+        if numbers == sorted(numbers) and numbers[0] > max(vocab[c + e] for c in BYTE_OF for e in ("", end)):
+            ranks = {spelled(t.removesuffix(end)) + b"\0" * t.endswith(end): k for t, k in vocab.items()}
+            own = tiktoken.Encoding("words", pat_str="[^\0]*\0", mergeable_ranks=ranks, special_tokens={})
+            self.merged = own.encode_to_numpy
+        self.last = np.zeros(max(vocab.values()) + 1, bool)  # ids that end a word
+        self.last[[k for t, k in vocab.items() if t.endswith(end)]] = True
+
+    @cached_property
+    def whole(self):
+        """The tokenizer itself, loaded by the first text that needs it."""
         from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(tokenizer_file)
-        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-
-    def encoded(self, text: str) -> bytes:
-        ids = self.whole.encode(text, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def __missing__(self, word: str) -> bytes:
-        found = self.encoded(word)
-        if len(self) >= MOST_PIECES:
+        return Tokenizer.from_file(self.file)
+
+    def learn(self, words: list[str]) -> None:
+        """Merge words that are not known yet."""
+        ids = self.merged("\0".join([*words, ""]), disallowed_special=()).astype("<u4")
+        packed, ends = ids.tobytes(), (4 * np.flatnonzero(self.last[ids]) + 4).tolist()
+        self.update(zip(words, (packed[lo:hi] for lo, hi in zip([0, *ends], ends)), strict=True))
+
+    def ids(self, texts: Sequence[str | None]) -> list[bytes]:
+        found: list = []
+        for text in texts:
+            if not text:
+                found.append([])
+            elif self.merged is None or OTHER.search(text) or "İ" in text or any(s in text for s in self.special):
+                found.append(np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
+            else:
+                found.append(WORDS.findall(text.lower()))
+        if len(self) > MOST_WORDS:
             self.clear()
-        self[word] = found
-        return found
-
-    def ids(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if OTHER.search(text) or "İ" in text or any(s in text for s in self.special):
-            return self.encoded(text)
-        return b"".join(map(self.__getitem__, WORDS.findall(text.lower())))
+        new = dict.fromkeys(w for words in found if isinstance(words, list) for w in words if w not in self)
+        if new:
+            self.learn(list(new))
+        return [b"".join(map(self.__getitem__, x)) if isinstance(x, list) else x for x in found]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -92,8 +121,8 @@ def id_rows(docs: DataFrame, keep: Sequence[str], tokenizer_file: str, end: int)
         def rows(texts: pd.DataFrame) -> pd.DataFrame:
             nonlocal before
             out, of = [], []
-            for i, text in enumerate(texts["text"]):
-                ids = own.ids(text) + last
+            for i, ids in enumerate(own.ids(texts["text"].tolist())):
+                ids += last
                 n = len(ids) // 4
                 for start in range(0, n, CHUNK):
                     chunk = ids[4 * start : 4 * (start + CHUNK)]
