@@ -81,3 +81,36 @@ def test_pair_term_is_the_sum_over_pairs():
     w32, v32 = w.astype(np.float64), v.astype(np.float64)
     z = 0.1 + w32[d].sum() + sum(v32[d[i]] @ v32[d[j]] for i in range(4) for j in range(i))
     assert np.isclose(toxicity.predict((0.1, w, v), [d])[0], 1 / (1 + np.exp(-z)), atol=1e-3)
+
+
+def test_terms_take_whole_words_and_digits():
+    def same(a, b):
+        return np.array_equal(toxicity.terms(a), toxicity.terms(b))
+
+    for a, b in (("internationalised", "internationalized"), ("abcdefghXX", "abcdefghYY"), ("k1ll y0u", "k9ll y3u"), ("123 456", "124 456")):
+        assert not same(a, b) and len(toxicity.terms(a)) > 0
+    assert same("Some WORDS, some words", "words... some!") and len(toxicity.terms("?!... -")) == 0
+    # a word's terms are the same wherever it stands, in texts of any length
+    long = " ".join(f"w{k}" for k in range(30_000))
+    assert set(toxicity.terms("internationalised ärger").tolist()) <= set(toxicity.terms(long + " internationalised, ärger").tolist())
+    assert len(toxicity.terms("abcdefgh")) == 4 and len(toxicity.terms("abc")) == 1
+
+
+def test_learns_what_only_a_pair_tells():
+    """Two words, each as frequent in both classes: toxic is exactly who has both or neither."""
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randrange(3, 9))) for _ in range(300)]
+    texts, y = [], []
+    for _ in range(4000):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        text = rng.choices(words, k=40) + ["zorgling"] * a + ["mentioned"] * b
+        rng.shuffle(text)
+        texts.append(toxicity.terms(" ".join(text)))
+        y.append(int(a == b))
+    y = np.array(y)
+    model = toxicity.train(texts[:3000], y[:3000])
+    right = (toxicity.predict(model, texts[3000:]) >= 0.5) == y[3000:]
+    assert right.mean() > 0.95
+    # no pair among words that tell nothing
+    alone, paired = toxicity.telling(texts[:3000], np.array([rng.randrange(2) for _ in range(3000)]), 3, 99.0, 6.0, 0.01, 50)
+    assert not alone.any() and not paired.any()

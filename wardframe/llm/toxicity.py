@@ -1,16 +1,20 @@
 """Toxicity by a factorization machine over hashed terms.
 
-A text's terms are its distinct words and word beginnings (4, 5 and 6 bytes), lower-cased and hashed.
-The score is the sigmoid of
+A text's terms are its distinct words, whole, and word beginnings (4, 5 and 6 bytes), with A-Z in lower case, and hashed.
+A word is a run of letters, digits and characters beyond ASCII. The score is the sigmoid of
 
     b + sum_i w_i + sum_(i<j) <v_i, v_j>
 
 over the terms present, the pair sum taken in linear time as half of (|sum v|^2 - sum |v|^2), so an
 insult and a group mention together can weigh more than both apart. Weights are learnt in numpy by
 AdaGrad on the logistic loss from at most ``each`` labelled documents per class of the training fold,
-with the classes weighted alike. Terms of fewer than ``least`` training documents, and terms whose
-share of documents differs between the classes by less than ``sigma`` standard errors, get no weight:
-in a long text, thousands of meaningless terms would otherwise add up to noise.
+with the classes weighted alike. In a long text, thousands of meaningless terms would add up to noise, so a term takes part only
+if it occurs in ``least`` training documents or more, and if it tells the classes apart: alone, when its share of documents
+differs by ``sigma`` standard errors, or with another term, when toxic documents hold both more (or less) often than the
+two alone would have it, and differ in that from the others by ``pair_sigma`` errors. Pairs are tested among the ``AMONG`` most
+frequent terms that ``common`` of the training documents or more hold, and the ``pairs`` strongest are tried: they stay if a fifth of the training
+documents, left out for that, is predicted better with them. So two words that are equally frequent in both classes
+count if their meeting tells (an insult that is harmless by itself, and the mention of a group).
 
 Every text is scored whole. The model is 2**18 rows of nine half floats: 4.7 MB to broadcast, always.
 Null and empty texts have no terms and get the sigmoid of b. Without labels of both classes the score
@@ -19,60 +23,117 @@ is the share of toxic labels (0 without any). Repeated rows get equal scores.
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardframe.llm.common import crc_fold, per_row, table
+from wardframe.llm.common import crc_fold, mix, per_row, table
 from wardframe.llm.labelled import spread_ids, texts_of, training_labels
 
 BITS, FACTORS = 18, 8
+AMONG = 2_000  # most frequent terms whose pairs are tested: some 160 MB for 10,000 documents
+COLUMNS = 500  # of them at once
 START = 0.01  # squared gradient that AdaGrad assumes at first, so that early steps stay small
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
-LETTER = np.zeros(256, dtype=bool)
-LETTER[ord("a") : ord("z") + 1] = True
-LETTER[128:] = True
-#: Odd multipliers, one for each length of beginning and one for whole words.
-SPREAD = {4: 0x9E3779B97F4A7C15, 5: 0xC2B2AE3D27D4EB4F, 6: 0x165667B19E3779F9, 0: 0xD6E8FEB86659FD93}
+WORD = np.zeros(256, dtype=bool)
+WORD[[*range(ord("a"), ord("z") + 1), *range(ord("0"), ord("9") + 1)]] = True
+WORD[128:] = True
+BEGINNINGS = (4, 5, 6)
+BASE = 0x9E3779B97F4A7C15  # odd, so that it can be divided by
+INVERSE = pow(BASE, -1, 1 << 64)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
 
 
 def terms(text: str | None) -> np.ndarray:
     """Sorted distinct hashed terms."""
-    raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass") + b" " * 9, dtype=np.uint8)
-    low = LOWER[raw]
-    letter = LETTER[low]
-    edge = np.diff(letter.view(np.int8), prepend=np.int8(0))
+    low = LOWER[np.frombuffer((text or "").encode("utf-8", "surrogatepass") + b" ", dtype=np.uint8)]
+    edge = np.diff(WORD[low].view(np.int8), prepend=np.int8(0))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if not len(starts):
         return np.empty(0, dtype=np.int32)
-    length = ends - starts
-    head = np.ndarray((len(low) - 8,), dtype="<u8", buffer=low, strides=(1,))[starts]
-    inside = np.minimum(length, 8).astype(np.uint64) * np.uint64(8)
-    whole = head & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - inside))
-    found = [(whole + length.astype(np.uint64)) * np.uint64(SPREAD[0])]
-    for k in (4, 5, 6):
-        part = whole[length >= k] & np.uint64((1 << 8 * k) - 1)
-        found.append(part * np.uint64(SPREAD[k]))
-    hashed = np.concatenate(found)
-    hashed ^= hashed >> np.uint64(29)
-    hashed *= np.uint64(0xBF58476D1CE4E5B9)
+    # Running sums of byte times power: a difference, divided by the power where it starts, is a run's own hash.
+    sums = np.zeros(len(low) + 1, np.uint64)
+    np.cumsum((low.astype(np.uint64) + np.uint64(1)) * _powers(BASE, len(low)), out=sums[1:])
+    shift = _powers(INVERSE, len(low))[starts]
+    found = [(sums[ends] - sums[starts]) * shift + np.uint64(len(BEGINNINGS))]
+    for kind, k in enumerate(BEGINNINGS):
+        own = ends - starts >= k
+        found.append((sums[starts[own] + k] - sums[starts[own]]) * shift[own] + np.uint64(kind))
+    hashed = mix(np.concatenate(found))
     return np.unique((hashed >> np.uint64(64 - BITS)).astype(np.int32))
 
 
-def telling(docs: list[np.ndarray], y: np.ndarray, least: int, sigma: float) -> np.ndarray:
-    """Terms in at least ``least`` documents whose share differs between the classes by ``sigma`` errors."""
-    toxic, other = (np.bincount(np.concatenate([d for d, v in zip(docs, y) if v == c] or [np.empty(0, int)]), minlength=1 << BITS) for c in (1, 0))
-    p, n = y.sum(), (1 - y).sum()
+def _apart(toxic: np.ndarray, other: np.ndarray, p: int, n: int, sigma: float) -> np.ndarray:
+    """Do the shares toxic/p and other/n differ by ``sigma`` standard errors?"""
     share = (toxic + other) / (p + n)
-    error = np.sqrt(share * (1 - share) * (1 / p + 1 / n)) + 1e-9
-    return (toxic + other >= least) & (np.abs(toxic / p - other / n) >= sigma * error)
+    return np.abs(toxic / p - other / n) >= sigma * (np.sqrt(share * (1 - share) * (1 / p + 1 / n)) + 1e-9)
+
+
+def telling(docs: list[np.ndarray], y: np.ndarray, least: int, sigma: float, pair_sigma: float, common: float, pairs: int) -> tuple[np.ndarray, np.ndarray]:
+    """Terms in at least ``least`` documents that tell the classes apart: alone, and with another."""
+    size = np.array([len(d) for d in docs])
+    ids, of = np.concatenate([*docs, np.empty(0, np.int32)]), np.repeat(y, size)
+    toxic, other = (np.bincount(ids[of == c], minlength=1 << BITS) for c in (1, 0))
+    p, n = int(y.sum()), int((1 - y).sum())
+    seen = (toxic + other >= least) & _apart(toxic, other, p, n, sigma)
+    # How far the share with both terms of a pair is from what the terms alone give, in either class:
+    # products of the documents' rows, some columns at once.
+    often = np.flatnonzero(toxic + other >= max(least, common * (p + n)))
+    often = often[np.argsort(-(toxic + other)[often], kind="stable")[:AMONG]]
+    place = np.full(1 << BITS, -1)
+    place[often] = np.arange(len(often))
+    held = np.zeros((len(docs), len(often)), np.float32)
+    at = place[ids]
+    held[np.repeat(np.arange(len(docs)), size)[at >= 0], at[at >= 0]] = 1
+    strongest: list[tuple] = []
+    classes = [(held[y == c], held[y == c].mean(0), m) for c, m in ((1, p), (0, n))]
+    for lo in range(0, len(often), COLUMNS):
+        some = slice(lo, lo + COLUMNS)
+        together, error = [], []
+        for rows, share, m in classes:
+            together.append(rows[:, some].T @ rows / m - np.outer(share[some], share))
+            error.append(np.outer(share[some] * (1 - share[some]), share * (1 - share)) / m)
+        more = together[0] - together[1]
+        strength = np.abs(more) / (np.sqrt(error[0] + error[1]) + 1e-9)
+        found = (strength > pair_sigma) & (np.abs(together[0]) > pair_sigma / 2 * np.sqrt(error[0])) & (more * together[0] > 0)
+        i, j = np.nonzero(found)
+        i, j = i[i + lo < j], j[i + lo < j]
+        strongest += zip(strength[i, j].tolist(), often[i + lo].tolist(), often[j].tolist())
+        strongest = heapq.nlargest(pairs, strongest)
+    paired = np.zeros(1 << BITS, bool)
+    paired[[t for _, *both in strongest for t in both]] = True
+    return seen, paired
+
+
+def train(docs: list[np.ndarray], y: np.ndarray, least: int = 3, sigma: float = 3.0, pair_sigma: float = 6.0, common: float = 0.01, pairs: int = 50, seed: int = 5):
+    """Bias, linear weights and factors; terms that don't tell the classes apart stay at zero."""
+    alone, paired = telling(docs, y, least, sigma, pair_sigma, common, pairs)
+    if (paired & ~alone).any():
+        out = np.random.default_rng(seed).random(len(docs)) < 0.2
+        if 0 < y[~out].sum() < (~out).sum():
+            kept, left = ([d for d, o in zip(docs, out) if o == c] for c in (False, True))
+            losses = [_loss(predict(_fit(kept, y[~out], seen, seed), left), y[out]) for seen in (alone, alone | paired)]
+            if losses[1] < losses[0]:
+                alone = alone | paired
+    return _fit(docs, y, alone, seed)
 
 
-def train(docs: list[np.ndarray], y: np.ndarray, least: int = 3, sigma: float = 3.0, epochs: int = 30, batch: int = 64, rate: float = 0.2, decay: float = 1e-4, seed: int = 5):
-    """Bias, linear weights and factors; terms that don't tell the classes apart stay at zero."""
+def _loss(score: np.ndarray, y: np.ndarray) -> float:
+    """Mean log loss, either class counting alike."""
+    each = -np.log(np.clip(np.where(y == 1, score, 1 - score), 1e-6, 1))
+    return sum(each[y == c].mean() for c in (0, 1) if (y == c).any())
+
+
+def _fit(docs: list[np.ndarray], y: np.ndarray, seen: np.ndarray, seed: int, epochs: int = 30, batch: int = 64, rate: float = 0.2, decay: float = 1e-4):
     rng = np.random.default_rng(seed)
-    seen = telling(docs, y, least, sigma)
     docs = [d[seen[d]] for d in docs]
     bias, bias_sum = 0.0, START
     w, v = np.zeros(1 << BITS, np.float32), rng.normal(0, 0.01, (1 << BITS, FACTORS)).astype(np.float32)
