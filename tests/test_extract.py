@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from wardframe.plans import extract
+from wardframe.plans import extract, kidney, labels as L
 from wardframe.sources import schemas, tables
 
 T0 = datetime(2130, 5, 1)
@@ -102,6 +102,10 @@ def test_kidney_injury(spark, catalog, tmp_path):
     # ill on admission: no case, and no control either
     assert got["noaki_hadms"] == [("3", "13")]
     assert spark.table("hospital_stages.running_aki_stages__baseline_median").count() > 0
+    # the stage is laid out by admission: jobs on it plan no exchange
+    assert got["aki_stages"] and spec.stages.count() == spark.table("hospital_stages.aki_stages__baseline_median").count()
+    for job in (L.table_evidence(spec, acquired=False), L.stage_onsets(spec), kidney.running_aki_stages(spec.stages)):
+        assert "Exchange" not in job._jdf.queryExecution().executedPlan().toString()
     # another baseline is another stage
     extract.aki_spec(c, str(folder / "notes.csv"), "first")
     assert spark.catalog.tableExists("hospital_stages.aki_stages__baseline_first")

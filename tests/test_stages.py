@@ -87,6 +87,15 @@ def test_jobs_by_the_key_of_a_bucketed_stage_plan_no_exchange(spark):
     assert "Exchange" not in named._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_stage_with_a_large_key_is_not_bucketed(spark):
+    rows = spark.range(500).select(F.when(F.col("id") < 200, 0).otherwise(F.col("id")).alias("k"), "id")
+    for most, layout in ((100, None), (200, "1")):
+        got = tables.materialize(spark, f"versions_test.large_{most}", lambda: rows, by=["k"], most_rows=most)
+        name = tables.current_version(spark, f"versions_test.large_{most}")
+        described = {r[0]: r[1] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+        assert described.get("Num Buckets") == layout and got.count() == 500
+
+
 def test_bucket_count_follows_the_measured_size(spark):
     assert tables.buckets_for(0, 8) == 1 and tables.buckets_for(1000, 8) == 1
     assert tables.buckets_for(tables.BUCKET_BYTES, 8) == 8  # small tables keep all tasks at work

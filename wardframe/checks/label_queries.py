@@ -10,7 +10,7 @@ from wardframe.checks import concept_queries as concepts, expected_values as V
 from wardframe.checks.registry import STEPS, in_list, query
 from wardframe.checks.role_views import Roles
 from wardframe.functions import codes as C
-from wardframe.plans import anemia, extract, kidney, labels as L
+from wardframe.plans import anemia, demographics, extract, kidney, labels as L
 from wardframe.session import shared_folder
 from wardframe.sources import csv
 
@@ -181,6 +181,25 @@ for _c in ("aki", "aki_creatinine", "anemia", "pi"):
     )
 
 
+for _c in ("aki", "anemia", "pi"):
+    _of = "fast_" if _c == "aki" else ""
+
+    def _primary(r: Roles, condition: str = _c):
+        cases = L.case_cohort(L.labels_of(spec(r, condition)))
+        diagnoses = r.fast_diagnoses if condition == "aki" else r.diagnoses
+        return demographics.ccs_primary_distribution(diagnoses, r.ccs, cases)
+
+    query(
+        f"d2_ccs_primary_distribution_{_c}_cases",
+        f"""SELECT ccs_id, ccs_name, count(*) AS n,
+          round(CAST(count(*) AS DOUBLE) / sum(count(*)) OVER (), 6) AS percent
+        FROM fx_{_of}diagnoses JOIN fx_ccs USING (icd9_code)
+          SEMI JOIN (SELECT * FROM st_labels_{_c} WHERE note_dx OR table_dx) USING ({KEY})
+        WHERE seq_num = 1 GROUP BY ccs_id, ccs_name""",
+        staged=True,
+    )(_primary)
+
+
 # --- the exported files, read back --------------------------------------------------------------
 
 EXPORTED = {  # columns of a file as it is written

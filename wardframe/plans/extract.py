@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wardframe.functions import codes as C
 from wardframe.operators.cohort import KEYS
-from wardframe.operators.skew import measure_hot_keys, pin
+from wardframe.operators.skew import MAX_ROWS, measure_hot_keys, pin
 from wardframe.plans import anemia, demographics, kidney, labels as L, pressure, severity
 from wardframe.plans import ventilation
 from wardframe.sources.csv import export_csv, read_note_labels
@@ -57,12 +57,19 @@ class Catalog:
     def ccs_single_level(self) -> DataFrame:
         return self.spark.table(f"{self.ccs}.ccs_single_level")
 
-    def stage(self, name: str, build: Callable[[], DataFrame], **params: object) -> DataFrame:
-        """``recreate`` rebuilds a stage once per catalog: later jobs, and frames made before, read that."""
+    def stage(
+        self, name: str, build: Callable[[], DataFrame], series: bool = False, **params: object
+    ) -> DataFrame:
+        """``recreate`` rebuilds a stage once per catalog: later jobs read that, and frames made before keep theirs.
+
+        A ``series`` of events is bucketed and sorted by admission, unless one admission has too many rows for a
+        task, so that the jobs on it plan no exchange by admission.
+        """
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.stages}")
         again = self.recreate and stage_name(name, **params) not in self.built
         self.built.add(stage_name(name, **params))
-        return materialize(self.spark, f"{self.stages}.{name}", build, again, **params)
+        layout = dict(by=KEYS, sort=[*KEYS, "charttime"], most_rows=MAX_ROWS) if series else {}
+        return materialize(self.spark, f"{self.stages}.{name}", build, again, **layout, **params)
 
     def chart(self) -> DataFrame:
         return self.stage("coded_events", lambda: coded_events(self.table("chartevents")))
@@ -124,12 +131,15 @@ def aki_spec(c: Catalog, notes: str, baseline: str = "median") -> L.ConditionSpe
 
     def stages() -> DataFrame:
         labs, outputs, chart = c.table("labevents"), c.table("outputevents"), c.chart()
-        creatinine = c.stage("creatinines", lambda: kidney.creatinines(labs))
-        urine = c.stage("urine_volume", lambda: kidney.urine_volume(outputs))
-        weights = c.stage("patient_weights", lambda: kidney.patient_weights(chart, hot(chart)))
+        creatinine = c.stage("creatinines", lambda: kidney.creatinines(labs), series=True)
+        urine = c.stage("urine_volume", lambda: kidney.urine_volume(outputs), series=True)
+        weights = c.stage(
+            "patient_weights", lambda: kidney.patient_weights(chart, hot(chart)), series=True
+        )
         rates = c.stage(
             "urine_stats",
             lambda: kidney.urine_stats(urine, weights, hot(urine.unionByName(weights, True))),
+            series=True,
         )
         lab_heat = hot(creatinine)
         return kidney.aki_stages(
@@ -142,7 +152,7 @@ def aki_spec(c: Catalog, notes: str, baseline: str = "median") -> L.ConditionSpe
     def hot(events: DataFrame):
         return measure_hot_keys(events, KEYS, "charttime")
 
-    aki = c.stage("aki_stages", stages, baseline=baseline)
+    aki = c.stage("aki_stages", stages, series=True, baseline=baseline)
     c.stage("running_aki_stages", lambda: kidney.running_aki_stages(aki, hot(aki)), baseline=baseline)
     icd = kidney.acute_kidney_flag(c.table("diagnoses_icd"))
     return _spec(c, "aki", notes, aki, "aki_risk", icd)
@@ -163,7 +173,7 @@ def anemia_spec(c: Catalog, notes: str, chart_hgb: bool = False) -> L.ConditionS
             measure_hot_keys(hgb, KEYS, "charttime"),
         )
 
-    severities = c.stage("anemia_severity", stages, chart=chart_hgb)
+    severities = c.stage("anemia_severity", stages, series=True, chart=chart_hgb)
     c.stage(
         "running_anemia_severity",
         lambda: anemia.running_anemia(
@@ -176,7 +186,9 @@ def anemia_spec(c: Catalog, notes: str, chart_hgb: bool = False) -> L.ConditionS
 
 
 def pressure_injury_spec(c: Catalog, notes: str) -> L.ConditionSpec:
-    stages = c.stage("pi_stages", lambda: pressure.pressure_injury_stages(c.chart()))
+    stages = c.stage(
+        "pi_stages", lambda: pressure.pressure_injury_stages(c.chart()), series=True
+    )
     c.stage(
         "running_pi_stages",
         lambda: pressure.running_pi_stages(stages, measure_hot_keys(stages, KEYS, "charttime")),

@@ -187,6 +187,7 @@ def materialize(
     by: Sequence[str] = (),
     sort: Sequence[str] = (),
     buckets: int | None = None,
+    most_rows: int | None = None,
     **params: object,
 ) -> DataFrame:
     """Build a stage once and reuse it; ``recreate`` builds it anew.
@@ -197,7 +198,8 @@ def materialize(
     ``drop_old_versions`` removes versions that are no longer named.
 
     With ``by`` the versions are bucketed by these columns, sorted by ``sort`` within the buckets, and jobs by these keys plan
-    no exchange on them; their number follows the measured size of the rows unless ``buckets`` gives it.
+    no exchange on them; their number follows the measured size of the rows unless ``buckets`` gives it. A bucket is one
+    task of such jobs, so with ``most_rows`` a stage in which a key has more rows than that stays a plain table.
     """
     stage = stage_name(name, **params)
     version = current_version(spark, stage)
@@ -208,11 +210,20 @@ def materialize(
     if version is None or recreate:
         version = _new_version(stage)
         own_path = path and f"{path.rstrip('/')}/{version.split('.')[-1]}"
+        rows, scratch = build(), None
         if by:
-            write_bucketed(build(), version, by, buckets, sort, "parquet", path=own_path)
+            scratch = shared_folder(spark)
+            rows.write.parquet(scratch)
+            rows = spark.read.schema(rows.schema).parquet(scratch)
+            largest = rows.groupBy(*by).count().agg(F.max("count")).first()[0] or 0 if most_rows else 0
+            buckets = buckets or buckets_for(folder_bytes(spark, scratch), spark.sparkContext.defaultParallelism)
+        if by and largest <= (most_rows or 0):
+            write_bucketed(rows, version, by, buckets, sort, "parquet", path=own_path)
         else:
-            writer = build().write
+            writer = rows.write
             (writer.option("path", own_path) if own_path else writer).saveAsTable(version)
+        if scratch:
+            remove(spark, scratch)
         _point(spark, stage, version)
     return spark.table(version)
 
