@@ -1,6 +1,7 @@
 """Concept tables on hand-made series: window ends, ties, episodes, three-valued stages."""
 
 import itertools
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -260,3 +261,31 @@ def test_primary_diagnosis_shares(spark):
     assert {r["ccs_name"]: (r["n"], round(r["percent"], 3)) for r in got} == {
         "one": (2, 0.667), "two": (1, 0.333),
     }
+
+
+def test_the_score_deals_each_key_out_once(spark):
+    """Without any broadcast: stays by admission and patient, events once by stay, and the episodes' own two."""
+    from wardframe.checks.concept_queries import oasis_score
+    from wardframe.checks.role_views import Roles
+
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = oasis_score(Roles(spark, "/root/testdata/sf0.001", staged=True))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert len(re.findall(r"(?<!Broadcast)Exchange hashpartitioning", plan)) <= 10
+
+
+def test_first_day_keeps_stays_without_events(spark):
+    stays = spark.createDataFrame([(1, 10, 100, T0), (2, 20, 200, T0)], "subject_id int, hadm_id int, icustay_id int, intime timestamp_ntz")
+    chart = spark.createDataFrame(
+        [(1, 10, 100, T0, 211, None, 80.0, None), (9, 10, 100, T0, 211, None, 90.0, None), (9, 90, 100, T0, 454, None, 3.0, None), (1, 10, 100, T0, 211, None, 70.0, 1)],
+        "subject_id int, hadm_id int, icustay_id int, charttime timestamp_ntz, itemid int, value string, valuenum double, error int",
+    )
+    none = spark.createDataFrame([], "subject_id int, hadm_id int, icustay_id int, charttime timestamp_ntz, itemid int, value double")
+    episodes = spark.createDataFrame([], "icustay_id int, starttime timestamp_ntz, endtime timestamp_ntz")
+    got = {r["icustay_id"]: r for r in severity.first_day(stays, chart, none, episodes).collect()}
+    # vital signs go by the whole key of a stay, the coma score by its number alone, as in the single jobs
+    assert got[100]["heartrate_max"] == 80.0 and got[100]["gcsmotor"] == 3.0 and got[100]["vent"] == 0
+    assert got[200]["heartrate_max"] is None and got[200]["mingcs"] is None and got[200]["vent"] == 0 and len(got) == 2

@@ -28,7 +28,7 @@ def _case(selector: str, *branches: tuple[object, object], default: object) -> C
 
 
 class Roles:
-    """``staged``: write the derived admissions down once, for queries that read them often."""
+    """``staged``: write the derived admissions and patients down once, for queries that read them often."""
 
     def __init__(
         self, spark: SparkSession, sf_dir: str, max_rows: int = MAX_ROWS, staged: bool = False
@@ -132,7 +132,7 @@ class Roles:
     @cached_property
     def patients(self) -> DataFrame:
         born = F.expr("date_add(DATE'1934-01-01', CAST(c_custkey * 7919 % 32800 AS INT))")
-        return (
+        patients = (
             self.table("customer")
             .select(
                 F.col("c_custkey").alias("subject_id"),
@@ -141,6 +141,7 @@ class Roles:
             )
             .join(self.admissions.select("subject_id"), "subject_id", "left_semi")
         )
+        return pin(patients) if self.staged else patients
 
     @cached_property
     def creatinine(self) -> DataFrame:

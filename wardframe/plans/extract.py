@@ -96,9 +96,8 @@ def concept_tables(c: Catalog) -> dict[str, DataFrame]:
     )
 
     def oasis() -> DataFrame:
-        surgical = severity.surgical_flag(stays, c.table("services"))
         cohort = severity.oasis_cohort(
-            stays, c.table("admissions"), c.table("patients"), day, surgical
+            stays, c.table("admissions"), c.table("patients"), day, c.table("services")
         )
         return severity.oasis_score(cohort)
 

@@ -171,9 +171,11 @@ def first_day(
     outputevents: DataFrame,
     durations: DataFrame,
     hot: HotKeys | None = None,
+    every_stay: bool = True,
 ) -> DataFrame:
-    """All first-day concepts of every stay in one pass: urine, ventilation, vital signs, coma score.
+    """All first-day concepts of the stays in one pass: urine, ventilation, vital signs, coma score.
 
+    Without ``every_stay``, stays without any event may be left out; ``oasis_cohort`` adds them anyway.
     Each event is looked up once, as (concept, unit, range), and meets its stay once; one aggregate per
     stay and instant and one per stay give all columns, on one partitioning by stay. The columns are those of
     the single jobs, which also do the work for hot stays (``hot`` is by ``icustay_id``).
@@ -190,37 +192,45 @@ def first_day(
             wide = wide.join(part.drop("subject_id", "hadm_id"), "icustay_id", "left")
         return wide.select(*STAY, *FIRST_DAY)
 
-    stays = icustays.select(*STAY, "intime")
     charted = normalize_units(
         chartevents.select(*STAY, "charttime", "itemid", "error", _points().alias("points")),
         [*VITAL_UNITS, *GCS_UNITS],
         value="points",
+    ).select(*STAY, "charttime", "concept", F.col("value_norm").alias("number"))
+    urine = _urine_volumes(outputevents).select(
+        *STAY, "charttime", F.lit("urine").alias("concept"), F.col("volume").alias("number")
     )
-    urine = _urine_volumes(outputevents).withColumn("concept", F.lit("urine"))
-    columns = [*STAY, "charttime", "concept", "value_norm"]
-    readings = charted.select(*columns).unionByName(
-        urine.withColumnRenamed("volume", "value_norm").select(*columns)
+    spans = durations.select(
+        "icustay_id", F.col("starttime").alias("charttime"), "endtime", F.lit("vent").alias("concept")
     )
-    anchors = stays.select("icustay_id", F.struct("subject_id", "hadm_id").alias("_of"), "intime")
-    day = tp.within_anchor(readings, anchors, ["icustay_id"], "charttime", "intime", None, DAY)
-    coma, of_stay = F.col("concept").isin(GCS_PARTS), F.struct("subject_id", "hadm_id") == F.col("_of")
+    readings = charted.unionByName(urine).unionByName(spans, allowMissingColumns=True)
+    events = readings.withColumnsRenamed({c: f"_{c}" for c in STAY})
 
-    def of(concept: str) -> Column:
-        return F.when(F.col("concept") == concept, F.col("value_norm"))
+    concept, t, start = F.col("concept"), F.col("charttime"), F.col("intime")
+    coma, of_stay = concept.isin(GCS_PARTS), (F.col("subject_id") == F.col("_subject_id")) & (
+        F.col("hadm_id") == F.col("_hadm_id")
+    )
+    in_day = t.between(start, start + tp.interval(DAY))
+    covers = (concept == "vent") & (t <= start) & (F.col("endtime") >= start)
+    meets = covers | (in_day & (coma | (concept == "vent") | of_stay))
+    # A short list of stays is sent to the events, which then leave all but the first days behind.
+    day = events.join(
+        icustays.select(*STAY, "intime"), (F.col("icustay_id") == F.col("_icustay_id")) & meets
+    )
 
-    instants = (
-        day.where(coma | of_stay)
-        .groupBy("icustay_id", "charttime")
-        .agg(
-            F.bool_or(coma).alias("_coma"),
-            F.sum(of("urine")).alias("urine_sum"),
-            *[F.max(of(p)).alias(p) for p in GCS_PARTS],
-            *[
-                fn(of(v)).alias(f"{v}_{name}")
-                for v in C.VITAL_NAMES
-                for name, fn in (("min", F.min), ("max", F.max), ("sum", F.sum), ("n", F.count))
-            ],
-        )
+    def of(name: str) -> Column:
+        return F.when(concept == name, F.col("number"))
+
+    instants = day.groupBy(*STAY, "charttime").agg(
+        F.bool_or(coma).alias("_coma"),
+        F.bool_or(concept == "vent").alias("_vent"),
+        F.sum(of("urine")).alias("urine_sum"),
+        *[F.max(of(p)).alias(p) for p in GCS_PARTS],
+        *[
+            fn(of(v)).alias(f"{v}_{name}")
+            for v in C.VITAL_NAMES
+            for name, fn in (("min", F.min), ("max", F.max), ("sum", F.sum), ("n", F.count))
+        ],
     )
     # The coma readings just before, over rows that may hold other concepts only.
     before = {**{f"prev_{p}": p for p in GCS_PARTS}, "_prev_t": "charttime"}
@@ -228,11 +238,12 @@ def first_day(
     near = F.col("_prev_t") > F.col("charttime") - tp.interval(GCS_REACH)
     paired = paired.withColumns({f"prev_{p}": F.when(near, F.col(f"prev_{p}")) for p in GCS_PARTS})
     lowest = F.struct("mingcs", *GCS_PARTS, "endotrachflag")
-    per_stay = (
+    found = (
         _with_coma_score(paired)
-        .groupBy("icustay_id")
+        .groupBy(*STAY)
         .agg(
             F.sum("urine_sum").alias("urineoutput"),
+            F.max(F.col("_vent").cast("int")).alias("vent"),
             *[
                 column.alias(f"{v}_{name}")
                 for v in C.VITAL_NAMES
@@ -245,22 +256,34 @@ def first_day(
             F.min_by(lowest, F.when(F.col("_coma"), F.struct("mingcs", "charttime"))).alias("_low"),
         )
         .select("*", "_low.*")
+        .select(*STAY, *FIRST_DAY)
+    )
+    if not every_stay:
+        return found
+    return (
+        icustays.select(*STAY)
+        .join(found.drop("subject_id", "hadm_id"), "icustay_id", "left")
+        .withColumn("vent", F.coalesce("vent", F.lit(0)))
     )
-    vented = tp.overlap_flag(stays, durations, "icustay_id", "intime", DAY, "vent")
-    return vented.join(per_stay, "icustay_id", "left").select(*STAY, *FIRST_DAY)
 
 
-def surgical_flag(icustays: DataFrame, services: DataFrame) -> DataFrame:
-    """1 if a surgical service took over before the end of the first day."""
+def _first_surgical(services: DataFrame) -> DataFrame:
+    """The earliest transfer to a surgical service per admission; it decides for each of its stays."""
     current = F.col("curr_service")
     surgical = services.where(F.lower(current).contains("surg") | (current == "ORTHO"))
-    # The earliest surgical transfer per admission decides for each of its stays.
-    first = surgical.groupBy("hadm_id").agg(F.min("transfertime").alias("_first"))
-    in_time = F.col("_first") < F.col("intime") + tp.interval(DAY)
+    return surgical.groupBy("hadm_id").agg(F.min("transfertime").alias("_surgery"))
+
+
+def _surgical() -> Column:
+    return F.when(F.col("_surgery") < F.col("intime") + tp.interval(DAY), 1).otherwise(0)
+
+
+def surgical_flag(icustays: DataFrame, services: DataFrame) -> DataFrame:
+    """1 if a surgical service took over before the end of the first day."""
     return (
         icustays.select("icustay_id", "hadm_id", "intime")
-        .join(first, "hadm_id", "left")
-        .select("icustay_id", F.when(in_time, 1).otherwise(0).alias("surgical"))
+        .join(_first_surgical(services), "hadm_id", "left")
+        .select("icustay_id", _surgical().alias("surgical"))
     )
 
 
@@ -269,11 +292,12 @@ def oasis_cohort(
     admissions: DataFrame,
     patients: DataFrame,
     concepts: DataFrame,
-    surgical: DataFrame,
+    services: DataFrame,
 ) -> DataFrame:
     """One row per ICU stay with everything the score needs; all sides have one row per key.
 
-    ``concepts`` has the columns of ``first_day``.
+    ``concepts`` has the columns of ``first_day``. What goes by admission is joined first, then by patient, then
+    by stay, so that each key is dealt out once.
     """
     vital_columns = [
         f"{v}_{agg}" for v in ("heartrate", "meanbp", "resprate", "tempc") for agg in ("max", "min")
@@ -292,8 +316,9 @@ def oasis_cohort(
             ),
             "hadm_id",
         )
+        .join(_first_surgical(services), "hadm_id", "left")
+        .withColumn("surgical", _surgical())
         .join(patients.select("subject_id", "dob"), "subject_id")
-        .join(surgical.select("icustay_id", "surgical"), "icustay_id", "left")
         .join(
             concepts.select(
                 "icustay_id", "mingcs", *vital_columns, "urineoutput", F.col("vent").alias("mechvent")
@@ -301,6 +326,7 @@ def oasis_cohort(
             "icustay_id",
             "left",
         )
+        .withColumn("mechvent", F.coalesce("mechvent", F.lit(0)))
     )
     years = F.datediff("intime", "dob").cast("double") / C.YEAR_SEVERITY
     elective = (
