@@ -1,3 +1,4 @@
+import bisect
 import random
 import zlib
 
@@ -46,8 +47,21 @@ def test_plan_places_everything_once(seed):
             assert at == end
             end += length
         assert end <= size
-    least = -(-sum(n * c for n, c in counts.items()) // size)
-    assert sorted(used) == list(range(len(used))) and len(used) <= 11 / 9 * least + 1 + counts.get(0, 0) or max(counts) > size // 2
+    assert sorted(used) == list(range(len(used))) == list(range(best_fit_decreasing(counts, size)))
+
+
+def best_fit_decreasing(counts, size):
+    """How many sequences plain best-fit decreasing opens, one piece at a time."""
+    gaps, opened = [], 0
+    for length in sorted(counts, reverse=True):
+        for _ in range(counts[length]):
+            at = bisect.bisect_left(gaps, length)
+            if at == len(gaps):
+                opened, left = opened + 1, size - length
+            else:
+                left = gaps.pop(at) - length
+            bisect.insort(gaps, left)
+    return opened
 
 
 def test_query_rows(documents, stored, spark):

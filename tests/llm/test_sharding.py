@@ -1,3 +1,4 @@
+import zlib
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -32,5 +33,5 @@ def test_query_on_empty_and_null_texts(documents, stored, spark):
 
 def test_query_digests(documents, stored, spark):
     out = {r.doc_id: r for r in op8_shuffled_shards(spark, stored(documents=documents([(1, None), (2, ""), (3, "é")]))).collect()}
-    assert [(out[k].size, out[k].text_crc32) for k in (1, 2, 3)] == [(1, 0), (1, 0), (3, 1911795749)] or out[3].size == 3
+    assert [(out[k].size, out[k].text_crc32) for k in (1, 2, 3)] == [(1, 0), (1, 0), (3, zlib.crc32("é".encode()))]
     assert {r.law for r in out.values()} == {"rows"}
