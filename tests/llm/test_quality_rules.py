@@ -80,3 +80,13 @@ def test_constant_group_and_empty_table(documents):
     same = robust_outliers(with_counts(documents([(k, text) for k in range(250)])), "record.lang", "record.source").collect()
     assert all(r.kept for r in same) and len(same) == 250
     assert robust_outliers(with_counts(documents([])), "record.lang", "record.source").collect() == []
+
+
+def test_rows_of_pools_that_are_too_small_are_kept(documents, prose):
+    """Nine rows are no estimate: a text far from the others stays, without a distance, until ``least`` is met."""
+    rows = [(k, prose(100 + k), "en", "s") for k in range(8)] + [(8, " ".join(w + "###" for w in prose(100).split()), "fr", "t")]
+    counted = with_counts(documents(rows))
+    few = robust_outliers(counted, "record.lang", "record.source").collect()
+    assert len(few) == 9 and all(r.kept and r.distance is None for r in few)
+    own = robust_outliers(counted, "record.lang", "record.source", least=9).collect()
+    assert all(r.distance is not None for r in own) and [r.record.doc_id for r in own if not r.kept] == [8]

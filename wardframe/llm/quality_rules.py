@@ -153,17 +153,20 @@ def robust_outliers(counted: DataFrame, lang: str, source: str, least: int = 200
 
 
 def _pools(fit: DataFrame, least: int) -> DataFrame:
-    """The pool of every (language, source): itself, its language's rest, or the rest of all."""
+    """The pool of every (language, source): itself, its language's rest, or the rest of all; none if that is too small."""
     n = fit.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
     rest = n.where(F.col("n") < least).groupBy("lang").agg(F.sum("n").alias("rest"))
-    return n.join(rest, "lang", "left").select(
+    pools = n.join(rest, "lang", "left").select(
         "lang",
         "source",
+        "n",
         F.when(F.col("n") >= least, F.concat(F.lit("s\0"), "lang", F.lit("\0"), "source"))
         .when(F.col("rest") >= least, F.concat(F.lit("l\0"), "lang"))
         .otherwise(F.lit("all"))
         .alias("pool"),
     )
+    large = pools.groupBy("pool").agg(F.sum("n").alias("rows")).where(F.col("rows") >= least)
+    return pools.drop("n").join(large, "pool", "left_semi")
 
 
 def _starts(fit: DataFrame) -> DataFrame:
