@@ -49,6 +49,36 @@ def test_words_at_every_place_are_learned(documents, spark):
     assert lm_scoring.scored(docs, lm_scoring.fit(docs), ["doc_id"]).agg(F.avg("mean")).first()[0] > -1.3
 
 
+def test_texts_are_cut_into_words_once(documents, spark):
+    """Counting and both rounds read the buckets that one pass over the texts wrote."""
+    evaluated = spark.sparkContext.accumulator(0)
+
+    def seen(text):
+        evaluated.add(1)
+        return text
+
+    docs = documents([(k, f"some words and {k}") for k in range(40)]).withColumn("text", F.udf(seen)("text"))
+    assert lm_scoring.fit(docs) is not None and evaluated.value == 40
+
+
+def test_descent_matches_plain_gradients():
+    rng = np.random.default_rng(6)
+    context, target = rng.integers(0, lm_scoring.CLASSES + 1, (32, lm_scoring.CONTEXT)).astype(np.int16), rng.integers(0, lm_scoring.CLASSES, 32)
+    w = lm_scoring.first_weights(np.zeros(lm_scoring.CLASSES, np.float32), 2)
+    moved = {k: v.copy() for k, v in w.items()}
+    lm_scoring.descend(moved, context, target, 0.5, 32)
+    d = lm_scoring.DIM
+    embed = np.zeros_like(w["embed"])
+    for c, y in zip(context, target):
+        h = np.tanh(np.concatenate([w["embed"][k] for k in c]) @ w["w1"] + w["b1"])
+        p = np.exp(z := h @ w["w2"] + w["b2"]) / np.exp(z).sum()
+        p[y] -= 1
+        dx = ((p @ w["w2"].T) * (1 - h * h)) @ w["w1"].T / 32
+        for place, k in enumerate(c):
+            embed[k] += dx[place * d : (place + 1) * d]
+    assert np.allclose(moved["embed"] - w["embed"], -0.5 * embed, atol=1e-6)
+
+
 def test_one_word_in_all(documents, spark):
     docs = documents([(1, "word"), (2, None)])
     assert [r.n_words for r in lm_scoring.scored(docs, lm_scoring.fit(docs), ["doc_id"]).orderBy("record.doc_id").collect()] == [1, 0]

@@ -7,6 +7,8 @@ masked; a text's score is the sum of the log-probabilities of all its words.
   and summed by Spark. The most frequent buckets are classes of their own, the others share classes of
   buckets of like frequency: log P(word) = log P(class | both sides) + log P(bucket | class).
   The second term knows no context, and of words outside the most frequent the context tells the class only.
+* *Passes.* Words are cut and hashed once; their buckets are a written table, which the counts, every round
+  and the scores read.
 * *Network.* Embeddings of the six neighbours, one tanh layer, a softmax over the classes; numpy.
 * *Training.* Every task trains the current weights on its own texts, each text from every ``stride``-th word
   (starting at a place that follows from the text, and one further each round), and sends its weights,
@@ -20,11 +22,13 @@ no rows. Results vary in the last digits with how the input is split, since task
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardframe.llm.common import lower_words_of, per_row, table, word_hashes
+from wardframe.llm.common import Stages, lower_words_of, per_row, table, word_hashes
 
 BUCKET_BITS = 17
 CLASSES, OWN = 128, 96  # classes in all, and how many are single buckets
@@ -33,12 +37,34 @@ CONTEXT = 2 * SIDE
 SHAPES = {"embed": (CLASSES + 1, DIM), "w1": (CONTEXT * DIM, HIDDEN), "b1": (HIDDEN,), "w2": (HIDDEN, CLASSES), "b2": (CLASSES,)}
 STRETCH = 1 << 21
 BATCH = 1 << 14
+CELLS = np.arange((CLASSES + 1) * DIM).reshape(CLASSES + 1, DIM)  # places of the embeddings
 
 
 def buckets_of(text: str | None) -> np.ndarray:
     return (word_hashes(lower_words_of(text)) >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)
 
 
+def numbered(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """The ``keep`` columns as ``record``, each text's buckets as little-endian 32-bit numbers, and its length."""
+    slim = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("record"), "text")
+
+    def rows(part: pd.DataFrame) -> pd.DataFrame:
+        return part[["record"]].assign(
+            buckets=[buckets_of(t).astype("<i4").tobytes() for t in part["text"]], size=[len(t) if isinstance(t, str) else 0 for t in part["text"]]
+        )
+
+    return slim.mapInPandas(lambda batches: per_row(batches, rows), f"record {slim.schema['record'].dataType.simpleString()}, buckets binary, size long")
+
+
+def _parts(batches: Iterable[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, list[np.ndarray]]]:
+    """Slices of ``numbered`` rows, of bounded text size, with their buckets."""
+    for batch in batches:
+        if len(batch):
+            cut = batch["size"].to_numpy().cumsum() // (4 << 20)
+            for _, part in batch.groupby(cut, sort=True):
+                yield part, [np.frombuffer(b, dtype="<i4") for b in part["buckets"]]
+
+
 def _count(batches):
     held = np.zeros(1 << BUCKET_BITS, dtype=np.int64)
     size = 0
@@ -47,8 +73,8 @@ def _count(batches):
         seen = np.flatnonzero(held)
         return pd.DataFrame({"bucket": seen.astype(np.int32), "n": held[seen]})
 
-    for part in per_row(batches, lambda p: p):
-        found = np.concatenate([buckets_of(t) for t in part["text"]])
+    for _, texts in _parts(batches):
+        found = np.concatenate(texts)
         held += np.bincount(found, minlength=1 << BUCKET_BITS)
         size += len(found)
         if size > STRETCH:
@@ -97,10 +123,11 @@ def log_probabilities(weights: dict[str, np.ndarray], context: np.ndarray, targe
     out = np.empty(len(target), dtype=np.float32)
     for at in range(0, len(target), BATCH):
         c, y = context[at : at + BATCH], target[at : at + BATCH]
-        h = tables[0][c[:, 0]]
+        h = tables[0].take(c[:, 0], axis=0)
         for k in range(1, CONTEXT):
-            h += tables[k][c[:, k]]
-        z = np.tanh(h + weights["b1"]) @ weights["w2"] + weights["b2"]
+            h += tables[k].take(c[:, k], axis=0)
+        z = np.tanh(h + weights["b1"]) @ weights["w2"]
+        z += weights["b2"]
         own = z[np.arange(len(y)), y]
         np.exp(z, out=z)  # tanh bounds the logits, so exp cannot overflow
         out[at : at + BATCH] = own - np.log(z.sum(1))
@@ -110,12 +137,13 @@ def log_probabilities(weights: dict[str, np.ndarray], context: np.ndarray, targe
 def descend(weights: dict[str, np.ndarray], context: np.ndarray, target: np.ndarray, rate: float, batch: int = 256) -> None:
     """One pass of gradient descent over the examples, in place."""
     for at in range(0, len(target), batch):
-        c, y = context[at : at + batch].astype(np.int64), target[at : at + batch]
-        x = weights["embed"][c].reshape(len(y), -1)
+        flat, y = context[at : at + batch].ravel(), target[at : at + batch]
+        x = weights["embed"].take(flat, axis=0).reshape(len(y), -1)
         h = np.tanh(x @ weights["w1"] + weights["b1"])
-        z = h @ weights["w2"] + weights["b2"]
-        z -= z.max(1, keepdims=True)
-        p = np.exp(z)
+        p = h @ weights["w2"]
+        p += weights["b2"]
+        p -= p.max(1, keepdims=True)
+        np.exp(p, out=p)
         p /= p.sum(1, keepdims=True)
         p[np.arange(len(y)), y] -= 1
         p /= batch
@@ -125,9 +153,8 @@ def descend(weights: dict[str, np.ndarray], context: np.ndarray, target: np.ndar
         weights["b2"] -= rate * p.sum(0)
         weights["w1"] -= rate * (x.T @ dh)
         weights["b1"] -= rate * dh.sum(0)
-        flat = c.ravel()
-        for d in range(DIM):
-            weights["embed"][:, d] -= rate * np.bincount(flat, dx[:, d], CLASSES + 1).astype(np.float32)
+        sums = np.bincount(CELLS.take(flat, axis=0).ravel(), dx.ravel(), CELLS.size)  # all columns of the embeddings at once
+        weights["embed"] -= rate * sums.astype(np.float32).reshape(CELLS.shape)
 
 
 def _flat(weights: dict[str, np.ndarray]) -> np.ndarray:
@@ -143,10 +170,9 @@ def _train_here(held, stride: int, turn: int, rate: float):
     def run(batches):
         vocabulary, start = held.value
         weights, seen = {k: v.copy() for k, v in start.items()}, 0
-        for part in per_row(batches, lambda p: p):
+        for _, texts in _parts(batches):
             context, target = [], []
-            for text in part["text"]:
-                b = buckets_of(text)
+            for b in texts:
                 if len(b):
                     cls = vocabulary.cls[b]
                     first = (int(b[0]) + turn) % stride
@@ -169,8 +195,15 @@ def fit(docs: DataFrame, rounds: int = 2, stride: int | None = None, rate: float
 
     ``stride`` is by default ``rounds``: the rounds' places differ, and together they are all words.
     """
-    spark = docs.sparkSession
-    got = docs.select("text").mapInPandas(_count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    words = numbered(docs, []).select("buckets", "size")  # a file holds no struct without columns
+    return fit_numbered(Stages(docs.sparkSession, "lm-scoring").write(words, "words"), rounds, stride, rate, seed)
+
+
+def fit_numbered(words: DataFrame, rounds: int = 2, stride: int | None = None, rate: float = 0.5, seed: int = 3):
+    """The same from a written table of ``numbered`` texts, which each round reads."""
+    spark = words.sparkSession
+    words = words.select("buckets", "size")
+    got = words.mapInPandas(_count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     if not len(got):
         return None
     counts = np.zeros(1 << BUCKET_BITS)
@@ -179,7 +212,7 @@ def fit(docs: DataFrame, rounds: int = 2, stride: int | None = None, rate: float
     weights = first_weights(vocabulary.prior, seed)
     for k in range(rounds):
         held = spark.sparkContext.broadcast((vocabulary, weights))
-        sums = docs.select("text").mapInPandas(_train_here(held, stride or rounds, k, rate / (k + 1)), "i int, v double, seen double")
+        sums = words.mapInPandas(_train_here(held, stride or rounds, k, rate / (k + 1)), "i int, v double, seen double")
         mean = sums.groupBy("i").agg((F.sum("v") / F.sum("seen")).alias("v")).toPandas().sort_values("i")
         if len(mean):  # else no text has a word at this round's places
             weights = _shaped(mean["v"].to_numpy())
@@ -189,11 +222,14 @@ def fit(docs: DataFrame, rounds: int = 2, stride: int | None = None, rate: float
 
 def scored(docs: DataFrame, model, keep: list[str]) -> DataFrame:
     """The ``keep`` columns as ``record`` with ``n_words``, ``log_likelihood`` and its mean per word."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
-    slim = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("record"), "text")
+    return score_numbered(numbered(docs, keep), model)
 
-    def rows(part: pd.DataFrame) -> pd.DataFrame:
-        texts = [buckets_of(t) for t in part["text"]]
+
+def score_numbered(words: DataFrame, model) -> DataFrame:
+    """The same for ``numbered`` texts."""
+    held = words.sparkSession.sparkContext.broadcast(model)
+
+    def rows(part: pd.DataFrame, texts: list[np.ndarray]) -> pd.DataFrame:
         sizes = np.array([len(b) for b in texts])
         result = part[["record"]].assign(n_words=sizes.astype(np.int64), log_likelihood=0.0)
         if sizes.sum():
@@ -205,10 +241,13 @@ def scored(docs: DataFrame, model, keep: list[str]) -> DataFrame:
             result["log_likelihood"] = np.bincount(np.repeat(np.arange(len(sizes)), sizes), each, len(sizes))
         return result
 
-    scores = slim.mapInPandas(lambda batches: per_row(batches, rows), f"record {slim.schema['record'].dataType.simpleString()}, n_words long, log_likelihood double")
+    scores = words.mapInPandas(
+        lambda batches: (rows(*found) for found in _parts(batches)), f"record {words.schema['record'].dataType.simpleString()}, n_words long, log_likelihood double"
+    )
     return scores.withColumn("mean", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")))
 
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return scored(docs, fit(docs), ["doc_id"]).select("record.doc_id", "n_words", "log_likelihood", "mean")
+    words = Stages(spark, "lm-scoring").write(numbered(docs, ["doc_id"]), "words")
+    return score_numbered(words, fit_numbered(words)).select("record.doc_id", "n_words", "log_likelihood", "mean")
